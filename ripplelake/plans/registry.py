@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import silver
+from ..operators import gold, quality, silver
 from ..schemas import RAW_COLUMNS
+from ..streaming import metrics
 from . import analytics
+from . import oracle_more as om
 from .oracle import with_ctes
 from .sqlkit import DIV, R, tables_in
 from .tables import PipelineTables
@@ -118,9 +120,64 @@ def _sql_query(sql: str) -> Builder:
 
 
 for _q, _sql in analytics.QUERIES.items():
-    if _q in ("x01", "x02"):
-        continue
-    register(_q, with_ctes(_sql), analytics.DESCRIPTIONS[_q])(_sql_query(_sql))
+    # X2 samples 10 arbitrary raw payloads: a sampling query, rows-only.
+    register(_q, None if _q == "x02" else with_ctes(_sql), analytics.DESCRIPTIONS[_q])(_sql_query(_sql))
+
+
+# ---------------------------------------------------------------------------
+# Cohort (batch job) variants.  Approximate distinct counts have no exact
+# twin: the approximate form is registered rows-only, plus an exact form.
+# ---------------------------------------------------------------------------
+def _joined(df: DataFrame, col: str) -> DataFrame:
+    """Arrays as sorted comma-joined text for engine-neutral comparison."""
+    return df.withColumn(col, F.array_join(F.array_sort(col), ","))
+
+
+register("daily_revenue", None, "hourly revenue, approximate customers (rows-only)")(
+    lambda spark, d: gold.daily_revenue(_tables(spark, d).silver_events))
+register("daily_revenue_exact", with_ctes(om.DAILY_REVENUE_EXACT), "hourly revenue, exact customers")(
+    lambda spark, d: gold.daily_revenue(_tables(spark, d).silver_events, exact_distinct=True))
+register("top_products_cohort", None, "cohort leaderboard, rank() <= 50, approximate users (rows-only)")(
+    lambda spark, d: gold.top_products_cohort(_tables(spark, d).silver_events))
+register("top_products_cohort_exact", with_ctes(om.TOP_PRODUCTS_COHORT_EXACT), "cohort leaderboard, exact users")(
+    lambda spark, d: gold.top_products_cohort(_tables(spark, d).silver_events, exact_distinct=True))
+register("user_cohorts", with_ctes(om.USER_COHORTS), "user cohorts with event-type sets")(
+    lambda spark, d: _joined(gold.user_cohorts(_tables(spark, d).silver_events), "event_types"))
+register("rolling_7d_revenue", with_ctes(om.ROLLING_7D), "trailing 7-day mean of daily revenue")(
+    lambda spark, d: gold.rolling_7d_revenue(gold.daily_revenue(_tables(spark, d).silver_events)))
+
+# ---------------------------------------------------------------------------
+# Hourly-window metrics applied to the bounded Silver (batch form of C1-C3)
+# ---------------------------------------------------------------------------
+register("sales_metrics", with_ctes(om.SALES_METRICS_EXACT), "hourly sales windows (batch, exact buyers)")(
+    lambda spark, d: comparable(_tables(spark, d).gold_sales_metrics))
+register("product_metrics", with_ctes(om.PRODUCT_METRICS_EXACT), "hourly product windows (batch, exact users)")(
+    lambda spark, d: comparable(metrics.product_metrics(_tables(spark, d).silver_events, exact_distinct=True)))
+register("user_metrics", with_ctes(om.USER_METRICS), "hourly user windows (batch)")(
+    lambda spark, d: comparable(_joined(metrics.user_metrics(_tables(spark, d).silver_events),
+                                        "event_types_seen")))
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+register("dq_report", with_ctes("SELECT * FROM @gold_dq_reports"), "DQ report per day")(
+    lambda spark, d: _tables(spark, d).gold_dq_reports)
+register("dq_silver_suite", with_ctes("SELECT * FROM @silver_suite_results"),
+         "Silver expectation suite, per day")(
+    lambda spark, d: quality.run_suite(_tables(spark, d).silver_events, quality.SILVER_SUITE, by="event_date"))
+register("dq_silver_summary", with_ctes(om.summary_sql("silver_suite_results")), "Silver suite summary per day")(
+    lambda spark, d: quality.suite_summary(
+        quality.run_suite(_tables(spark, d).silver_events, quality.SILVER_SUITE, by="event_date")))
+register("dq_gold_suite", with_ctes("SELECT * FROM @gold_suite_results"), "Gold sales suite")(
+    lambda spark, d: quality.run_suite(_tables(spark, d).gold_sales_metrics, quality.GOLD_SALES_SUITE))
+register("dq_gate", with_ctes(om.DQ_GATE), "DQ report rows breaching the gate")(
+    lambda spark, d: quality.dq_gate_issues(_tables(spark, d).gold_dq_reports))
+_LAYERS = (f"SELECT *, CAST(NULL AS VARCHAR) AS error, bool_and(passed) OVER () AS overall_passed FROM ("
+           f"{om.summary_sql('silver_suite_results')} UNION ALL {om.summary_sql('gold_suite_results')}) l")
+register("validate_layers", with_ctes(_LAYERS), "Silver + Gold suites with overall flag")(
+    lambda spark, d: quality.validate_layers(
+        spark, None, lambda: _tables(spark, d).silver_events, lambda: _tables(spark, d).gold_sales_metrics,
+        by="event_date"))
 
 
 def queries() -> dict[str, Builder]:

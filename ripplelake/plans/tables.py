@@ -13,7 +13,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixtures import raw_events
-from ..operators import gold, silver
+from ..operators import bronze, gold, quality, silver
+from ..streaming import metrics
 from ..session import ensure_utc
 
 
@@ -51,6 +52,19 @@ class PipelineTables:
     def gold_user_segments(self) -> DataFrame:
         return gold.user_segments(self.silver_events)
 
+    @cached_property
+    def gold_sales_metrics(self) -> DataFrame:
+        """C1 over the whole (bounded) Silver, exact buyer counts."""
+        return metrics.sales_metrics(self.silver_events, exact_distinct=True)
+
+    @cached_property
+    def gold_dq_reports(self) -> DataFrame:
+        return quality.dq_report(self.silver_events)
+
+    @cached_property
+    def bronze_events(self) -> DataFrame:
+        return bronze.bronze_envelope(bronze.to_payload(self.raw_events))
+
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
 
