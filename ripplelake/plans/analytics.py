@@ -207,6 +207,63 @@ LIMIT 10""",
 # R4 (hourly heatmap) is the same query as Q7.
 QUERIES["r04"] = QUERIES["q07"]
 
+# -- dashboard feeds (P1-P5) ----------------------------------------------------
+_PURCHASE = "is_valid AND event_type = 'purchase'"
+QUERIES["p01"] = f"""
+SELECT {R(MSUM(f"CASE WHEN {_PURCHASE} THEN revenue END"), 2)} AS total_revenue,
+       COUNT(CASE WHEN {_PURCHASE} THEN 1 END) AS total_orders,
+       COUNT(DISTINCT CASE WHEN {_PURCHASE} THEN user_id END) AS unique_buyers,
+       COUNT(DISTINCT CASE WHEN is_valid THEN country END) AS countries,
+       {R(DIV(MSUM(f"CASE WHEN {_PURCHASE} THEN revenue END"), f"COUNT(CASE WHEN {_PURCHASE} THEN 1 END)"), 2)}
+         AS avg_order_value,
+       {R(DIV(f"COUNT(CASE WHEN {_PURCHASE} THEN 1 END) * 100.0", "COUNT(CASE WHEN is_valid THEN 1 END)"), 1)}
+         AS purchase_rate_pct,
+       COUNT(CASE WHEN NOT is_valid THEN 1 END) AS rejected_rows,
+       {R(DIV("COUNT(CASE WHEN is_valid THEN 1 END) * 100.0", "COUNT(*)"), 1)} AS dq_pass_pct
+FROM (
+  SELECT event_type, revenue, user_id, country, TRUE AS is_valid FROM @silver_events
+  UNION ALL
+  SELECT CAST(NULL AS STRING), CAST(NULL AS DOUBLE), CAST(NULL AS STRING), CAST(NULL AS STRING), FALSE
+  FROM @rejected_events
+) k"""
+# Country -> region, fixed values of the dashboard.
+REGIONS = {"Americas": ["US", "CA", "BR", "MX"], "Europe": ["GB", "DE", "FR"], "Asia-Pacific": ["AU", "JP", "IN"]}
+_REGION_CASE = "CASE " + " ".join(
+    f"WHEN country IN ({', '.join(repr(c) for c in cs)}) THEN '{r}'" for r, cs in REGIONS.items()) + " ELSE 'Other' END"
+QUERIES["p02"] = f"""
+SELECT region,
+       {R(MSUM('total_revenue'), 2)} AS revenue,
+       {ISUM('total_orders')} AS orders,
+       COUNT(DISTINCT country) AS countries
+FROM (SELECT {_REGION_CASE} AS region, country, total_revenue, total_orders FROM @gold_revenue_metrics) g
+GROUP BY region
+ORDER BY revenue DESC, region ASC"""
+QUERIES["p03"] = f"""
+SELECT event_hour, revenue,
+       CASE WHEN revenue > 1000 THEN 'high' WHEN revenue > 600 THEN 'medium' ELSE 'low' END AS band
+FROM (
+  SELECT event_hour, {R(f"COALESCE({MSUM('total_revenue')}, 0)", 2)} AS revenue
+  FROM (
+    SELECT CAST(id AS INT) AS event_hour, CAST(NULL AS DOUBLE) AS total_revenue FROM @hours
+    UNION ALL
+    SELECT event_hour, total_revenue FROM @gold_revenue_metrics
+  ) u
+  GROUP BY event_hour
+) h
+ORDER BY event_hour"""
+QUERIES["p04"] = f"""
+SELECT ROW_NUMBER() OVER (ORDER BY revenue DESC, report_date ASC, product_id ASC) AS position,
+       product_name, category, revenue, orders, conversion_pct
+FROM (
+  SELECT product_id, report_date, product_name, category, {R('revenue', 2)} AS revenue,
+         purchase_count AS orders, {R('conversion_rate * 100', 1)} AS conversion_pct
+  FROM @gold_top_products
+  ORDER BY revenue DESC, report_date ASC, product_id ASC
+  LIMIT 8
+) t"""
+# P5 (funnel: users per event type) is R6.
+QUERIES["p05"] = QUERIES["r06"]
+
 DESCRIPTIONS = {
     "q01": "top 10 products by rank", "q02": "best converting products", "q03": "many views, low conversion",
     "q04": "total revenue summary", "q05": "revenue by country with share", "q06": "revenue by category",
@@ -216,6 +273,8 @@ DESCRIPTIONS = {
     "r01": "product list by revenue", "r02": "top products with conversion %", "r03": "country with AOV",
     "r04": "hourly heatmap", "r05": "segments without share", "r06": "funnel by unique users",
     "r07": "data quality check", "x01": "latest DQ report", "x02": "sample raw Bronze payloads",
+    "p01": "KPI tiles", "p02": "revenue by region", "p03": "hourly revenue bands (24 hours)",
+    "p04": "product leaderboard (8)", "p05": "purchase funnel",
 }
 
 

@@ -3,6 +3,7 @@ quality operators (independent SQL over the oracle CTE chain)."""
 
 from __future__ import annotations
 
+from ..operators.monitoring import DEFAULT_RULES
 from ..operators.quality import GOLD_SALES_SUITE, SILVER_SUITE
 from .oracle import _STAMP, PURCHASE_REVENUE, register_cte
 from .sqlkit import DIV, MSUM, R
@@ -220,3 +221,64 @@ register_cte("gold_sales_metrics", SALES_METRICS_EXACT)
 register_cte("gold_dq_reports", DQ_REPORT)
 register_cte("silver_suite_results", SILVER_SUITE_SQL)
 register_cte("gold_suite_results", GOLD_SUITE_SQL)
+
+register_cte("rejected_events", "SELECT * FROM tagged WHERE _rejection_reason IS NOT NULL")
+register_cte("hours", "SELECT CAST(range AS BIGINT) AS id FROM range(24)")
+
+FRESHNESS_NOW = "2024-01-31 00:00:00"
+LAYER_FRESHNESS = f"""
+SELECT max(event_timestamp) AS last_write,
+  CAST(floor(epoch_us(TIMESTAMP '{FRESHNESS_NOW}') / 1000000) AS BIGINT)
+    - CAST(floor(epoch_us(max(event_timestamp)) / 1000000) AS BIGINT) AS age_seconds,
+  (CAST(floor(epoch_us(TIMESTAMP '{FRESHNESS_NOW}') / 1000000) AS BIGINT)
+    - CAST(floor(epoch_us(max(event_timestamp)) / 1000000) AS BIGINT)) > 300 AS breached
+FROM silver_events
+"""
+
+_ONLY_TS = "FROM tagged WHERE _event_ts IS NOT NULL"
+EVENT_METRICS = f"""
+SELECT 'RecordsRead' AS metric, _event_ts AS ts, CAST(1.0 AS DOUBLE) AS value {_ONLY_TS}
+UNION ALL
+SELECT 'NullEventId', _event_ts,
+  CAST(CASE WHEN event_id IS NULL OR event_id = '' THEN 100.0 ELSE 0.0 END AS DOUBLE) {_ONLY_TS}
+UNION ALL
+SELECT 'RejectedRecord', _event_ts,
+  CAST(CASE WHEN _rejection_reason IS NOT NULL THEN 1.0 ELSE 0.0 END AS DOUBLE) {_ONLY_TS}
+UNION ALL
+SELECT 'PurchaseRevenue', _event_ts, revenue {_ONLY_TS}
+  AND _rejection_reason IS NULL AND event_type = 'purchase' AND revenue IS NOT NULL
+"""
+ALARM_RULES = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{a}', '{m}', '{st}', CAST({p} AS BIGINT), CAST({t} AS DOUBLE), '{c}', CAST({n} AS INTEGER))"
+    for a, m, st, p, t, c, n in DEFAULT_RULES) + \
+    ") r(alarm_name, metric, statistic, period_seconds, threshold, comparison, evaluation_periods)"
+ALARM_PERIODS = """
+SELECT *, CASE WHEN comparison = '>=' THEN statistic_value >= threshold
+               ELSE statistic_value > threshold END AS breached
+FROM (
+  SELECT alarm_name, statistic, period_seconds, threshold, comparison, evaluation_periods, period_idx,
+    CASE statistic WHEN 'avg' THEN CAST(s AS DOUBLE) / CAST(n AS DOUBLE) WHEN 'max' THEN mx
+                   WHEN 'sum' THEN CAST(s AS DOUBLE) ELSE CAST(n AS DOUBLE) END AS statistic_value
+  FROM (
+    SELECT alarm_name, statistic, period_seconds, threshold, comparison, evaluation_periods,
+      CAST(floor(epoch_us(ts) / (period_seconds * 1000000.0)) AS BIGINT) AS period_idx,
+      SUM(CAST(value AS DECIMAL(20,6))) AS s, MAX(value) AS mx, COUNT(value) AS n
+    FROM event_metrics JOIN alarm_rules USING (metric)
+    GROUP BY ALL
+  ) a
+) b
+"""
+THRESHOLD_ALARM = """
+SELECT alarm_name, make_timestamp(period_idx * period_seconds * 1000000) AS period_start,
+  statistic_value, breached,
+  (CASE WHEN breached THEN ROW_NUMBER() OVER (PARTITION BY alarm_name, island, breached ORDER BY period_idx)
+        ELSE 0 END) >= evaluation_periods AS in_alarm
+FROM (
+  SELECT *, period_idx - SUM(CAST(breached AS BIGINT)) OVER (
+      PARTITION BY alarm_name ORDER BY period_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island
+  FROM alarm_periods
+) i
+"""
+register_cte("event_metrics", EVENT_METRICS)
+register_cte("alarm_rules", ALARM_RULES)
+register_cte("alarm_periods", ALARM_PERIODS)

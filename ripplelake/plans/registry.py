@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import gold, quality, silver
+from ..operators import gold, monitoring, quality, silver
 from ..schemas import RAW_COLUMNS
 from ..streaming import metrics
 from . import analytics
@@ -180,6 +180,19 @@ register("validate_layers", with_ctes(_LAYERS), "Silver + Gold suites with overa
         by="event_date"))
 
 
+# ---------------------------------------------------------------------------
+# Monitoring
+# ---------------------------------------------------------------------------
+register("layer_freshness", with_ctes(om.LAYER_FRESHNESS),
+         "age of the newest Silver event at a fixed instant")(
+    lambda spark, d: comparable(monitoring.layer_freshness(
+        _tables(spark, d).silver_events, now=om.FRESHNESS_NOW, time_col="event_timestamp")))
+register("threshold_alarm", with_ctes(om.THRESHOLD_ALARM),
+         "N-consecutive-period threshold alarms over derived metrics")(
+    lambda spark, d: comparable(monitoring.threshold_alarm(
+        monitoring.event_metrics(_tables(spark, d).tagged), monitoring.rules_frame(spark))))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 

@@ -65,6 +65,11 @@ class PipelineTables:
     def bronze_events(self) -> DataFrame:
         return bronze.bronze_envelope(bronze.to_payload(self.raw_events))
 
+    @cached_property
+    def hours(self) -> DataFrame:
+        """The 24 hours of a day (fills hours without revenue)."""
+        return self.spark.range(24)
+
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
 
