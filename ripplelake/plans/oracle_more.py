@@ -282,3 +282,30 @@ FROM (
 register_cte("event_metrics", EVENT_METRICS)
 register_cte("alarm_rules", ALARM_RULES)
 register_cte("alarm_periods", ALARM_PERIODS)
+
+
+# -- streams (availableNow): only windows closed by the final watermark -------
+# The watermark follows the newest event time among the rows each query
+# aggregates (Catalyst pushes the query's filter below the watermark).
+def _closed(filter_sql: str) -> str:
+    return (f"date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <= "
+            f"(SELECT max(event_timestamp) FROM silver_events WHERE {filter_sql}) - INTERVAL 10 MINUTE")
+
+
+STREAM_SALES = f"""
+SELECT window_start, window_end, country, category, total_revenue, total_orders, total_units_sold, avg_order_value
+FROM ({SALES_METRICS_EXACT}) s
+WHERE window_end <= (SELECT max(event_timestamp) FROM silver_events WHERE event_type = 'purchase')
+                    - INTERVAL 10 MINUTE
+"""
+STREAM_PRODUCTS = f"""
+SELECT window_start, product_id, product_name, category, revenue, purchase_count, cart_adds, product_views,
+  conversion_rate
+FROM ({PRODUCT_METRICS_EXACT}) s
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) FROM silver_events
+                                         WHERE product_id IS NOT NULL) - INTERVAL 10 MINUTE
+"""
+STREAM_USERS = f"""
+SELECT * FROM ({USER_METRICS}) s
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) FROM silver_events) - INTERVAL 10 MINUTE
+"""

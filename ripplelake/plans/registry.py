@@ -193,6 +193,65 @@ register("threshold_alarm", with_ctes(om.THRESHOLD_ALARM),
         monitoring.event_metrics(_tables(spark, d).tagged), monitoring.rules_frame(spark))))
 
 
+# ---------------------------------------------------------------------------
+# Streaming: each run lands the raw payloads as text files (derived from the
+# events table by Spark), runs the query with an availableNow trigger into a
+# fresh folder under the shared checkpoint dir, and reads the sink back.
+# ---------------------------------------------------------------------------
+def run_stream_once(spark: SparkSession, sf_dir: str, query: str) -> str:
+    from ..operators.bronze import to_payload
+    from ..session import scratch_path
+    from ..streaming.pipeline import run_streaming_pipeline
+
+    src = scratch_path(spark, "stream-src")
+    to_payload(_tables(spark, sf_dir).raw_events).write.text(src)
+    base, ck = scratch_path(spark, "stream-lake"), scratch_path(spark, "stream-ck")
+    run_streaming_pipeline(spark, src, base, ck, available_now=True, only=[query]).await_all()
+    return base
+
+
+def _stream_read(folder: str, query: str, drop: tuple[str, ...] = ()) -> Builder:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = run_stream_once(spark, sf_dir, query)
+        df = spark.read.parquet(f"{base}/{folder}")
+        return comparable(df.drop(*drop))
+    return build
+
+
+register("stream_bronze", None, "streaming Bronze envelope (rows-only: ingest stamps are wall-clock)")(
+    _stream_read("bronze/raw_events", "bronze"))
+register("stream_silver", with_ctes("SELECT * FROM @silver_events"), "streaming Silver")(
+    lambda spark, d: comparable(spark.read.parquet(f"{run_stream_once(spark, d, 'silver')}/silver/cleaned_events")
+                                .select(*[c for c in silver.SILVER_SCHEMA.fieldNames()])))
+
+
+def _stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = run_stream_once(spark, sf_dir, "rejected")
+    schema = T.StructType(silver.EVENT_SCHEMA.fields + [T.StructField("raw_payload", T.StringType()),
+                                                        T.StructField("_rejection_reason", T.StringType())])
+    return spark.read.schema(schema).json(f"{base}/silver/rejected").select(*RAW_COLUMNS, "_rejection_reason")
+
+
+register("stream_rejected", with_ctes(f"SELECT {_RAW_LIST}, _rejection_reason FROM @tagged "
+                                      "WHERE _rejection_reason IS NOT NULL"), "streaming dead letter")(
+    _stream_rejected)
+# Approximate distinct columns (unique_buyers / unique_users) are left out of
+# the compared stream outputs; the batch forms above check exact counts.
+register("stream_sales_metrics", with_ctes(om.STREAM_SALES), "streaming hourly sales (closed windows)")(
+    _stream_read("gold/sales_metrics", "gold-sales", ("unique_buyers",)))
+register("stream_product_metrics", with_ctes(om.STREAM_PRODUCTS), "streaming hourly products (closed windows)")(
+    _stream_read("gold/product_metrics", "gold-products", ("unique_users",)))
+
+
+def _stream_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = run_stream_once(spark, sf_dir, "gold-users")
+    return comparable(_joined(spark.read.parquet(f"{base}/gold/user_metrics"), "event_types_seen"))
+
+
+register("stream_user_metrics", with_ctes(om.STREAM_USERS), "streaming hourly users (closed windows)")(
+    _stream_users)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
