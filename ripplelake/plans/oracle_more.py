@@ -309,3 +309,28 @@ STREAM_USERS = f"""
 SELECT * FROM ({USER_METRICS}) s
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) FROM silver_events) - INTERVAL 10 MINUTE
 """
+
+MEDALLION_COUNTS = """
+SELECT 'silver_events' AS "table", COUNT(*) AS row_count FROM silver_events
+UNION ALL SELECT 'gold_revenue_metrics', COUNT(*) FROM gold_revenue_metrics
+UNION ALL SELECT 'gold_top_products', COUNT(*) FROM gold_top_products
+UNION ALL SELECT 'gold_user_segments', COUNT(*) FROM gold_user_segments
+UNION ALL SELECT 'read', COUNT(*) FROM tagged
+UNION ALL SELECT 'valid', COUNT(*) FROM tagged WHERE _rejection_reason IS NULL
+UNION ALL SELECT 'rejected', COUNT(*) FROM tagged WHERE _rejection_reason IS NOT NULL
+"""
+SILVER_PARTITION_LIST = """
+SELECT DISTINCT 'event_year=' || event_year || '/event_month=' || event_month || '/event_day=' || event_day
+  AS "partition"
+FROM silver_events
+"""
+SEGMENTS_ONE_DAY = "SELECT * FROM gold_user_segments WHERE report_date = '2024-01-15'"
+_DEDUP_ORDER = ("event_timestamp, user_id, session_id, event_type, product_id, product_name, category, "
+                "price, quantity, device_type, country, revenue, schema_version")
+DEDUP_EVENTS = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY
+    {", ".join(c.strip() + " ASC NULLS FIRST" for c in _DEDUP_ORDER.split(","))}) AS rn
+  FROM silver_events
+) d WHERE rn = 1
+"""

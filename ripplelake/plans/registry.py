@@ -252,6 +252,58 @@ register("stream_user_metrics", with_ctes(om.STREAM_USERS), "streaming hourly us
     _stream_users)
 
 
+# ---------------------------------------------------------------------------
+# Jobs, catalog, dedup, partition pruning (write to the shared folder, then
+# read back what was written)
+# ---------------------------------------------------------------------------
+def _medallion_base(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    from ..session import scratch_path
+    from . import jobs
+    base = scratch_path(spark, "lake")
+    counts = jobs.run_medallion(spark, _tables(spark, sf_dir).raw_events, base)
+    return base, counts
+
+
+register("medallion_job", with_ctes(om.MEDALLION_COUNTS), "J2 row counts per written table")(
+    lambda spark, d: _medallion_base(spark, d)[1])
+
+
+def _daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jobs
+    base, _ = _medallion_base(spark, sf_dir)
+    return jobs.run_daily(spark, base, None, gate=False)
+
+
+register("daily_job", with_ctes("SELECT * FROM @gold_dq_reports"), "J1 backfill: DQ report read back")(_daily_job)
+
+
+def _catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+    from ..sources import catalog
+    base, _ = _medallion_base(spark, sf_dir)
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    catalog.create_tables(spark, base, prefix)
+    return catalog.refresh_partitions(spark, prefix + "silver_events")
+
+
+register("catalog_partitions", with_ctes(om.SILVER_PARTITION_LIST), "partitions discovered after a write")(
+    _catalog_partitions)
+
+
+def _pruned_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..fixtures import FIXTURE_RUN_DATE
+    from ..sources import readers
+    base, _ = _medallion_base(spark, sf_dir)
+    day = readers.load_silver(spark, f"{base}/silver/cleaned_events", FIXTURE_RUN_DATE)
+    return comparable(gold.user_segments(day))
+
+
+register("partition_pruned_load", with_ctes(om.SEGMENTS_ONE_DAY),
+         "one Silver partition loaded by partition filter -> user segments")(_pruned_load)
+register("dedup_events", with_ctes(om.DEDUP_EVENTS), "one row per event id (earliest event)")(
+    lambda spark, d: comparable(silver.dedup_events(_tables(spark, d).silver_events)))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
