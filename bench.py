@@ -49,7 +49,13 @@ def main() -> None:
     def run(df):
         df.write.format("noop").mode("overwrite").save()
 
-    # warm-up: JVM, codegen caches (not timed)
+    # Warm-up (not timed): one pass of the same jobs over the small sf0.001
+    # tables, so JIT/codegen start-up is not billed to the measured scale.
+    warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    if os.path.isdir(warm_dir):
+        warm = scratch_path(spark, "bench-warm")
+        jobs.run_medallion(spark, raw_events(spark, warm_dir), warm).collect()
+        jobs.run_daily(spark, warm, None, gate=False).collect()
     run(raw_events(spark, sf_dir).limit(10))
 
     base = scratch_path(spark, "bench-lake")
