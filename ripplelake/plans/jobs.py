@@ -9,8 +9,7 @@ write replaces exactly the partitions it produces (dynamic overwrite).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, quality, silver
@@ -40,13 +39,16 @@ def run_medallion(spark: SparkSession, raw: DataFrame, base: str, run_date=None)
     plus the transform stats row, all read back from storage.
     """
     p = lake(base)
-    tagged = silver.tag_records(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = silver.transform_stats(tagged).first()
-        sinks.write_silver(silver.to_silver(tagged), p["silver"])
-        sinks.write_rejected(silver.rejected_records(tagged), p["rejected"])
-    finally:
-        tagged.unpersist()
+    tagged = silver.tag_records(raw)
+    # Stats ride along the Silver write (Observation): no cache of the raw
+    # input and no extra pass; the dead letter is a second, filtered scan.
+    obs = Observation("transform_stats")
+    observed = tagged.observe(obs, F.count(F.lit(1)).alias("total_read"),
+                              F.count_if(F.col(silver.REASON).isNull()).alias("total_valid"))
+    sinks.write_silver(silver.to_silver(observed), p["silver"])
+    stats = obs.get
+    stats["total_rejected"] = stats["total_read"] - stats["total_valid"]
+    sinks.write_rejected(silver.rejected_records(tagged), p["rejected"])
     silver_t = readers.load_silver(spark, p["silver"], run_date)
     sinks.write_gold(gold.revenue_metrics(silver_t), p["revenue"])
     sinks.write_gold(gold.top_products(silver_t), p["products"])
@@ -69,22 +71,21 @@ def run_daily(spark: SparkSession, base: str, run_date=None, gate: bool = True,
     """Cohort-variant Gold (D2, D4, D6) and the DQ report (E0) for one
     day, or for every day in Silver when ``run_date`` is None (backfill).
 
-    Silver is read once per run (partition-pruned) and cached for the four
-    plans; an empty day writes a NO_DATA report.  The gate (E11) runs on the
+    Every plan reads the partition-pruned Silver; an empty day writes a
+    NO_DATA report.  The gate (E11) runs on the
     written report and fails closed; then partitions are refreshed (A9).
     Returns the DQ report read back from storage.
     """
     p = lake(base)
-    day = readers.load_silver(spark, p["silver"], run_date).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        report = quality.dq_report(day, run_date)
-        sinks.write_dq_report(report, p["dq"])
-        if day.limit(1).count() > 0:
-            sinks.write_gold(gold.daily_revenue(day, run_date), p["daily_revenue"])
-            sinks.write_gold(gold.top_products_cohort(day, run_date), p["daily_products"])
-            sinks.write_gold(gold.user_cohorts(day, run_date), p["daily_users"])
-    finally:
-        day.unpersist()
+    # No cache: each plan re-reads only its columns of the pruned partition,
+    # which at production size is cheaper than holding a day in executors.
+    day = readers.load_silver(spark, p["silver"], run_date)
+    report = quality.dq_report(day, run_date)
+    sinks.write_dq_report(report, p["dq"])
+    if day.limit(1).count() > 0:
+        sinks.write_gold(gold.daily_revenue(day, run_date), p["daily_revenue"])
+        sinks.write_gold(gold.top_products_cohort(day, run_date), p["daily_products"])
+        sinks.write_gold(gold.user_cohorts(day, run_date), p["daily_users"])
     written = spark.read.parquet(p["dq"])
     if run_date is not None:
         written = written.filter(F.col("run_date") == str(run_date))
