@@ -261,6 +261,13 @@ FROM (
   ORDER BY revenue DESC, report_date ASC, product_id ASC
   LIMIT 8
 ) t"""
+# Exact distinct buyers over Silver: the Gold tables sum per-group distinct
+# counts (kept as published), which over-counts people across groups.
+QUERIES["exact_buyers"] = """
+SELECT COUNT(DISTINCT user_id) AS exact_buyers,
+       COUNT(*) AS purchases
+FROM @silver_events
+WHERE event_type = 'purchase'"""
 # P5 (funnel: users per event type) is R6.
 QUERIES["p05"] = QUERIES["r06"]
 
@@ -275,6 +282,7 @@ DESCRIPTIONS = {
     "r07": "data quality check", "x01": "latest DQ report", "x02": "sample raw Bronze payloads",
     "p01": "KPI tiles", "p02": "revenue by region", "p03": "hourly revenue bands (24 hours)",
     "p04": "product leaderboard (8)", "p05": "purchase funnel",
+    "exact_buyers": "exact distinct buyers over Silver purchases",
 }
 
 

@@ -78,3 +78,17 @@ def test_conversion_rate(spark):
     assert got == [0.3, 5.0, 1.0, 0.0]
     unguarded = [r[0] for r in df.select(conversion_rate("p", "c", guard=False)).collect()]
     assert unguarded[1] is None
+
+
+def test_flags_and_helpers(spark, sample):
+    from ripplelake.operators.silver import filter_valid, quality_flags
+    raw = raw_frame(spark, [make_event(), make_event(event_id="z", device_type=None),
+                            make_event(event_id="w", price=-1.0)])
+    flagged = quality_flags(raw)
+    assert [r["_is_valid_record"] for r in flagged.orderBy("event_id").collect()] == [True, False, False]
+    assert filter_valid(flagged).count() == 1 and "_is_valid_record" not in filter_valid(flagged).columns
+    tp = gold.top_products(sample)
+    ranked = gold.global_rank(tp, "revenue").orderBy("rank").collect()
+    assert ranked[0]["rank"] == 1 and ranked[0]["product_id"] == "P001"
+    pos = gold.position(tp, [F.desc("revenue")]).orderBy("position").collect()
+    assert [r["position"] for r in pos] == [1, 2]

@@ -2,13 +2,17 @@
 the dedup-within-watermark helper."""
 import json
 import os
-import tempfile
 
-from conftest import make_event
+from conftest import SF, make_event
+from pyspark.sql import functions as F
 
+from ripplelake.operators.bronze import to_payload
+from ripplelake.operators.silver import dedup_events
+from ripplelake.plans.tables import PipelineTables
+from ripplelake.session import scratch_path
 from ripplelake.sources.readers import read_event_stream
 from ripplelake.streaming import metrics
-from ripplelake.streaming.pipeline import silver_stream
+from ripplelake.streaming.pipeline import STATS_METRIC, run_streaming_pipeline, silver_stream
 
 
 def _files(folder, batches):
@@ -22,12 +26,13 @@ def _files(folder, batches):
 
 
 def _run(spark, batches, name):
-    src = tempfile.mkdtemp(prefix="late-src-")
+    src = scratch_path(spark, "late-src")
+    os.makedirs(src)
     _files(src, batches)
     records = read_event_stream(spark, src, "text", max_files_per_trigger=1)
     agg = metrics.user_metrics(silver_stream(records))
     q = (agg.writeStream.format("memory").queryName(name).outputMode("append")
-            .option("checkpointLocation", tempfile.mkdtemp(prefix="late-ck-"))
+            .option("checkpointLocation", scratch_path(spark, "late-ck"))
             .trigger(availableNow=True).start())
     q.awaitTermination()
     dropped = sum((p.get("stateOperators") or [{}])[0].get("numRowsDroppedByWatermark", 0)
@@ -50,3 +55,35 @@ def test_late_row_counted_in_batch_after_raise(spark):
     out, dropped = _run(spark, batches, "late_case2")
     assert out == {"00:00": 2, "02:00": 2}
     assert dropped == 0
+
+
+def test_observed_stats_and_dedup_within_watermark(spark):
+    src = scratch_path(spark, "dup-src")
+    os.makedirs(src)
+    rows = [("x", "00:05"), ("x", "00:06"), ("y", "00:07"), (None, "00:08")]
+    with open(os.path.join(src, "part-0.json"), "w") as fh:
+        for eid, hhmm in rows:
+            fh.write(json.dumps(make_event(event_id=eid, timestamp=f"2024-01-01T{hhmm}:00+00:00")) + "\n")
+    silver = silver_stream(read_event_stream(spark, src, "text"))
+    q = (dedup_events(silver, within_watermark=True).writeStream.format("memory").queryName("dedup_case")
+         .option("checkpointLocation", scratch_path(spark, "dup-ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    ids = sorted(r["event_id"] for r in spark.sql("SELECT event_id FROM dedup_case").collect())
+    assert ids == ["x", "y"]
+    stats = [p["observedMetrics"][STATS_METRIC] for p in q.recentProgress if p.get("observedMetrics")]
+    assert stats[0]["total_read"] == 4 and stats[0]["total_valid"] == 3
+
+
+def test_full_pipeline_starts_every_query(spark):
+    src = scratch_path(spark, "pipe-src")
+    to_payload(PipelineTables(spark, SF["0.001"]).raw_events).write.text(src)
+    base, ck = scratch_path(spark, "pipe-lake"), scratch_path(spark, "pipe-ck")
+    pipe = run_streaming_pipeline(spark, src, base, ck, available_now=True)
+    pipe.await_all()
+    assert set(pipe.queries) == {"bronze", "silver", "rejected", "gold-sales", "gold-users", "gold-products"}
+    assert spark.read.parquet(f"{base}/bronze/raw_events").count() == 1000
+    assert spark.read.parquet(f"{base}/silver/cleaned_events").count() == 916
+    assert spark.read.json(f"{base}/silver/rejected").count() == 84
+    for table in ["sales_metrics", "user_metrics", "product_metrics"]:
+        assert spark.read.parquet(f"{base}/gold/{table}").count() > 0
+    pipe.stop()
