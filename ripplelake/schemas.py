@@ -136,5 +136,14 @@ GOLD_SALES_SCHEMA = T.StructType([
     T.StructField("unique_buyers", T.LongType()),
     T.StructField("updated_at", T.TimestampType()),
 ])
-BRONZE_COLUMNS = ["raw_payload", "partition_key", "sequence_number",
-                  "arrival_time", "processing_time", "ingest_year", "ingest_month", "ingest_day"]
+BRONZE_SCHEMA = T.StructType([
+    T.StructField("raw_payload", T.StringType()),
+    T.StructField("partition_key", T.StringType()),
+    T.StructField("sequence_number", T.StringType()),
+    T.StructField("arrival_time", T.TimestampType()),
+    T.StructField("processing_time", T.TimestampType()),
+    T.StructField("ingest_year", T.IntegerType()),
+    T.StructField("ingest_month", T.IntegerType()),
+    T.StructField("ingest_day", T.IntegerType()),
+])
+BRONZE_COLUMNS = BRONZE_SCHEMA.fieldNames()

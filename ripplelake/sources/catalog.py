@@ -10,14 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..schemas import (BRONZE_COLUMNS, GOLD_PARTITIONS, GOLD_PRODUCTS_SCHEMA, GOLD_REVENUE_SCHEMA,
-                       GOLD_SALES_SCHEMA, GOLD_SEGMENTS_SCHEMA, SILVER_PARTITIONS, SILVER_SCHEMA)
-
-_BRONZE_SCHEMA = T.StructType([
-    T.StructField("raw_payload", T.StringType()), T.StructField("partition_key", T.StringType()),
-    T.StructField("sequence_number", T.StringType()), T.StructField("arrival_time", T.TimestampType()),
-    T.StructField("processing_time", T.TimestampType()),
-])
+from ..schemas import (BRONZE_COLUMNS, BRONZE_SCHEMA, GOLD_PARTITIONS, GOLD_PRODUCTS_SCHEMA,
+                       GOLD_REVENUE_SCHEMA, GOLD_SALES_SCHEMA, GOLD_SEGMENTS_SCHEMA, SILVER_PARTITIONS,
+                       SILVER_SCHEMA)
+
 _INGEST = [c for c in BRONZE_COLUMNS if c.startswith("ingest_")]
 
 
@@ -33,7 +29,7 @@ TABLES = [
     ("gold_top_products", "gold/top_products", GOLD_PRODUCTS_SCHEMA, GOLD_PARTITIONS),
     ("gold_user_segments", "gold/user_segments", GOLD_SEGMENTS_SCHEMA, GOLD_PARTITIONS),
     ("silver_events", "silver/cleaned_events", SILVER_SCHEMA, SILVER_PARTITIONS),
-    ("bronze_events", "bronze/raw_events", _BRONZE_SCHEMA, _INGEST),
+    ("bronze_events", "bronze/raw_events", BRONZE_SCHEMA, _INGEST),
     ("gold_sales_metrics", "gold/sales_metrics", GOLD_SALES_SCHEMA, []),
 ]
 
