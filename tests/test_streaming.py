@@ -4,7 +4,6 @@ import json
 import os
 
 from conftest import SF, make_event
-from pyspark.sql import functions as F
 
 from ripplelake.operators.bronze import to_payload
 from ripplelake.operators.silver import dedup_events
