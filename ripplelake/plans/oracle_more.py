@@ -334,3 +334,12 @@ SELECT * EXCLUDE (rn) FROM (
   FROM silver_events
 ) d WHERE rn = 1
 """
+
+FLAG_VALID = """
+SELECT * FROM raw_events
+WHERE COALESCE(event_type IN ('page_view', 'product_view', 'add_to_cart', 'purchase', 'search', 'wishlist_add'), FALSE)
+  AND COALESCE(device_type IN ('mobile', 'desktop', 'tablet'), FALSE)
+  AND event_id IS NOT NULL AND "timestamp" IS NOT NULL AND user_id IS NOT NULL
+  AND (price IS NULL OR price > 0)
+  AND (quantity IS NULL OR quantity > 0)
+"""

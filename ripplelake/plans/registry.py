@@ -304,6 +304,24 @@ register("dedup_events", with_ctes(om.DEDUP_EVENTS), "one row per event id (earl
     lambda spark, d: comparable(silver.dedup_events(_tables(spark, d).silver_events)))
 
 
+# ---------------------------------------------------------------------------
+# Bronze landing round trip (A2 -> A3 -> Silver) and the quality flags
+# ---------------------------------------------------------------------------
+def _bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.bronze import land_bronze_json, to_payload
+    from ..session import scratch_path
+    from ..sources import readers
+    path = scratch_path(spark, "bronze-landing")
+    land_bronze_json(to_payload(_tables(spark, sf_dir).raw_events), path)
+    return comparable(silver.to_silver(silver.tag_records(readers.read_bronze(spark, path))))
+
+
+register("bronze_roundtrip", with_ctes("SELECT * FROM @silver_events"),
+         "raw JSON landed by event day, read back, validated to Silver")(_bronze_roundtrip)
+register("flag_valid_events", with_ctes(om.FLAG_VALID), "rows passing the five quality flags (B3/B4)")(
+    lambda spark, d: silver.filter_valid(silver.quality_flags(_tables(spark, d).raw_events)))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v.build for k, v in REGISTRY.items()}
 
