@@ -252,7 +252,7 @@ FROM (
 ) h
 ORDER BY event_hour"""
 QUERIES["p04"] = f"""
-SELECT ROW_NUMBER() OVER (ORDER BY revenue DESC, report_date ASC, product_id ASC) AS position,
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY revenue DESC, report_date ASC, product_id ASC) AS INTEGER) AS position,
        product_name, category, revenue, orders, conversion_pct
 FROM (
   SELECT product_id, report_date, product_name, category, {R('revenue', 2)} AS revenue,
