@@ -91,4 +91,9 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": UTC,
+        # Streaming state (per user x hour windows) off the JVM heap, with
+        # changelog checkpoints so a lost executor restores state quickly.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
