@@ -19,23 +19,45 @@ class NoDataError(RuntimeError):
     """A requested partition holds no data."""
 
 
+# Connector column names -> the record columns the Bronze envelope reads.
+_RECORD_COLUMNS = {"value": "data", "key": "partitionKey", "offset": "sequenceNumber",
+                   "timestamp": "approximateArrivalTimestamp"}
+
+
+def normalize_records(df: DataFrame) -> DataFrame:
+    """Rename connector columns (log/queue or text file) to ``data``,
+    ``partitionKey``, ``sequenceNumber``, ``approximateArrivalTimestamp``."""
+    for src, dst in _RECORD_COLUMNS.items():
+        if src in df.columns and dst not in df.columns:
+            df = df.withColumnRenamed(src, dst)
+    return df
+
+
 def read_event_stream(spark: SparkSession, source: str, fmt: str = "text",
-                      options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                      options: dict | None = None, max_files_per_trigger: int | None = None,
+                      max_records_per_trigger: int | None = None) -> DataFrame:
     """A1: raw record stream.
 
-    ``fmt``/``options`` select the connector (a Kafka or Kinesis source plugs
-    in here); for the file source, ``maxFilesPerTrigger`` is the rate cap.
-    The result carries the payload as ``data``.
+    ``fmt``/``options`` select the connector: for the file source ``source``
+    is a folder and ``maxFilesPerTrigger`` caps each micro-batch; for a log
+    connector (``fmt="kafka"``) ``source`` is the topic, reading starts at the
+    latest offsets unless ``options`` say otherwise, and
+    ``max_records_per_trigger`` caps each micro-batch.  Columns are
+    normalized for the Bronze envelope (``normalize_records``).
     """
-    reader = spark.readStream.format(fmt).options(**(options or {}))
-    if fmt == "text":
-        reader = reader.option("wholetext", "false")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.load(source)
-    if "value" in df.columns and "data" not in df.columns:
-        df = df.withColumnRenamed("value", "data")
-    return df
+    opts = dict(options or {})
+    reader = spark.readStream.format(fmt)
+    if fmt == "kafka":
+        opts.setdefault("subscribe", source)
+        opts.setdefault("startingOffsets", "latest")
+        if max_records_per_trigger:
+            opts.setdefault("maxOffsetsPerTrigger", str(max_records_per_trigger))
+        df = reader.options(**opts).load()
+    else:
+        if max_files_per_trigger:
+            opts.setdefault("maxFilesPerTrigger", str(max_files_per_trigger))
+        df = reader.options(**opts).load(source)
+    return normalize_records(df)
 
 
 def read_bronze(spark: SparkSession, path: str, run_date=None) -> DataFrame:

@@ -63,3 +63,13 @@ def test_catalog_tables_and_partitions(spark):
     parts = catalog.refresh_partitions(spark, "ct_silver_events").collect()
     assert len(parts) == 30
     assert spark.table("ct_silver_events").count() == 916
+
+
+def test_connector_columns_feed_the_envelope(spark):
+    import datetime as dt
+    df = spark.createDataFrame(
+        [(b'{"event_id": "E1"}', b"U1", 42, dt.datetime(2024, 1, 2, 3, 4, 5))],
+        "value binary, key binary, offset long, timestamp timestamp")
+    env = bronze.bronze_envelope(readers.normalize_records(df)).first()
+    assert env["raw_payload"] == '{"event_id": "E1"}' and env["partition_key"] == "U1"
+    assert env["sequence_number"] == "42" and (env["ingest_year"], env["ingest_day"]) == (2024, 2)
