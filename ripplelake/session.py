@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(master: str | None = None, app: str = "ripplelake",
@@ -38,6 +39,10 @@ def build_session(master: str | None = None, app: str = "ripplelake",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("RIPPLE_DRIVER_MEM", "8g"))
         .config("spark.sql.streaming.schemaInference", "false")
+        # Whole-stage codegen of the wide Silver projection yields methods
+        # above the JVM's 8 KB JIT limit; let the JIT compile them.
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -96,4 +101,6 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # JIT-compile the large generated methods of the fused Silver stage.
+        "spark.executor.extraJavaOptions": JIT_OPTIONS,
     }
