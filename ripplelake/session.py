@@ -65,12 +65,17 @@ def shared_dir(spark: SparkSession) -> str:
     checkpoint dir so ``DataFrame.checkpoint()`` uses the same place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = base.get() if base.isDefined() else None
+    try:  # classic sessions may have the dir set on the context only
+        ctx = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: no SparkContext
+        ctx = None
+    if not base and ctx is not None:
+        found = ctx._jsc.sc().getCheckpointDir()
+        base = found.get() if found.isDefined() else None
     if not base:
         base = tempfile.mkdtemp(prefix="ripplelake-")
-        spark.sparkContext.setCheckpointDir(base)
+        if ctx is not None:
+            ctx.setCheckpointDir(base)
     return base.rstrip("/")
 
 
