@@ -39,6 +39,33 @@ DEFAULT_RULES = [
 ]
 
 
+# Streaming-health rules (fixed values of the production alarms).
+STREAMING_RULES = [
+    ("spark-batch-processing-slow", "BatchProcessingTimeMs", "avg", 60, 120000.0, ">", 5),
+]
+
+PROGRESS_SCHEMA = T.StructType([
+    T.StructField("metric", T.StringType()), T.StructField("ts", T.TimestampType()),
+    T.StructField("value", T.DoubleType()),
+])
+
+
+def streaming_progress_metrics(spark: SparkSession, queries) -> DataFrame:
+    """Metric series from the recent progress of running streaming queries:
+    BatchProcessingTimeMs, RecordsProcessedPerSecond and InputRows per
+    micro-batch.  ``recentProgress`` is a bounded driver-side log (the last
+    ~100 batches per query), so this is query metadata, not data."""
+    import datetime as _dt
+    rows = []
+    for q in queries:
+        for p in q.recentProgress:
+            ts = _dt.datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00"))
+            rows.append(("BatchProcessingTimeMs", ts, float(p.get("batchDuration") or 0)))
+            rows.append(("RecordsProcessedPerSecond", ts, float(p.get("processedRowsPerSecond") or 0)))
+            rows.append(("InputRows", ts, float(p.get("numInputRows") or 0)))
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+
+
 def layer_freshness(df: DataFrame, now: str | None = None, time_col: str = "processed_at",
                     threshold_s: int = FRESHNESS_THRESHOLD_S) -> DataFrame:
     """M1: newest ``time_col``, its age in whole seconds at ``now`` (default:

@@ -86,3 +86,16 @@ def test_full_pipeline_starts_every_query(spark):
     for table in ["sales_metrics", "user_metrics", "product_metrics"]:
         assert spark.read.parquet(f"{base}/gold/{table}").count() > 0
     pipe.stop()
+
+
+def test_streaming_health_alarm(spark):
+    from ripplelake.operators import monitoring
+    src = scratch_path(spark, "health-src")
+    to_payload(PipelineTables(spark, SF["0.001"]).raw_events).write.text(src)
+    pipe = run_streaming_pipeline(spark, src, scratch_path(spark, "health-lake"), scratch_path(spark, "health-ck"),
+                                  available_now=True, only=["silver"])
+    series = monitoring.streaming_progress_metrics(spark, pipe.queries.values())
+    assert series.filter("metric = 'BatchProcessingTimeMs'").count() >= 2
+    rules = monitoring.rules_frame(spark, monitoring.STREAMING_RULES)
+    out = monitoring.threshold_alarm(series, rules).collect()
+    assert out and all(r["alarm_name"] == "spark-batch-processing-slow" and not r["in_alarm"] for r in out)
