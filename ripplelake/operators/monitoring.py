@@ -1,7 +1,7 @@
 """Monitoring as table operators (M1, M2).
 
 * ``layer_freshness``: age of the newest record of a layer and a breach flag.
-* ``threshold_alarm``: CloudWatch-style alarms over a metric series: a
+* ``threshold_alarm``: metric alarms over a metric series: a
   statistic per fixed period, compared with a threshold, in alarm after N
   consecutive breaching periods (a missing period breaks the streak).
 
