@@ -218,8 +218,15 @@ def _stream_read(folder: str, query: str, drop: tuple[str, ...] = ()) -> Builder
     return build
 
 
-register("stream_bronze", None, "streaming Bronze envelope (rows-only: ingest stamps are wall-clock)")(
-    _stream_read("bronze/raw_events", "bronze"))
+def _stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze written by the stream, payloads parsed back to raw events
+    (the envelope's ingest stamps are wall-clock and not compared)."""
+    base = run_stream_once(spark, sf_dir, "bronze")
+    return silver.parse_events(spark.read.parquet(f"{base}/bronze/raw_events")).select(*RAW_COLUMNS)
+
+
+register("stream_bronze", with_ctes("SELECT * FROM @raw_events"),
+         "streaming Bronze: every payload parses back to the event sent")(_stream_bronze)
 register("stream_silver", with_ctes("SELECT * FROM @silver_events"), "streaming Silver")(
     lambda spark, d: comparable(spark.read.parquet(f"{run_stream_once(spark, d, 'silver')}/silver/cleaned_events")
                                 .select(*[c for c in silver.SILVER_SCHEMA.fieldNames()])))

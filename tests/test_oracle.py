@@ -19,7 +19,7 @@ def test_registry_is_consistent():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) >= 60
     rows_only = sorted(set(QUERIES) - set(ORACLES))
-    assert rows_only == ["daily_revenue", "stream_bronze", "top_products_cohort", "x02"]
+    assert rows_only == ["daily_revenue", "top_products_cohort", "x02"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
