@@ -102,14 +102,14 @@ def run_daily(spark: SparkSession, base: str, run_date=None, gate: bool = True,
     # No cache: each plan re-reads only its columns of the pruned partition,
     # which at production size is cheaper than holding a day in executors.
     day = readers.load_silver(spark, p["silver"], run_date)
-    tasks = [lambda: sinks.write_dq_report(quality.dq_report(day, run_date), p["dq"])]
-    if day.limit(1).count() > 0:
-        tasks += [
-            lambda: sinks.write_gold(gold.daily_revenue(day, run_date), p["daily_revenue"]),
-            lambda: sinks.write_gold(gold.top_products_cohort(day, run_date), p["daily_products"]),
-            lambda: sinks.write_gold(gold.user_cohorts(day, run_date), p["daily_users"]),
-        ]
-    run_concurrently(tasks)
+    # An empty day writes its NO_DATA report; its empty Gold frames replace
+    # no partitions (dynamic overwrite), so no emptiness probe is needed.
+    run_concurrently([
+        lambda: sinks.write_dq_report(quality.dq_report(day, run_date), p["dq"]),
+        lambda: sinks.write_gold(gold.daily_revenue(day, run_date), p["daily_revenue"]),
+        lambda: sinks.write_gold(gold.top_products_cohort(day, run_date), p["daily_products"]),
+        lambda: sinks.write_gold(gold.user_cohorts(day, run_date), p["daily_users"]),
+    ])
     written = spark.read.parquet(p["dq"])
     if run_date is not None:
         written = written.filter(F.col("run_date") == str(run_date))

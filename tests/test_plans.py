@@ -55,3 +55,15 @@ def test_daily_job_writes_every_day(spark):
     assert len(report) == 1 and report[0]["run_date"] == "2024-01-15"
     with pytest.raises(Exception):
         jobs.run_daily(spark, base, "2024-01-15", gate=True)  # duplicates in the fixture -> gate fails
+
+
+def test_daily_job_empty_day_reports_no_data(spark):
+    from ripplelake.operators.quality import DataQualityError
+    base = scratch_path(spark, "empty-lake")
+    jobs.run_medallion(spark, PipelineTables(spark, SF["0.001"]).raw_events, base).collect()
+    before = spark.read.parquet(jobs.lake(base)["revenue"]).count()
+    with pytest.raises(DataQualityError, match="NO_DATA"):
+        jobs.run_daily(spark, base, "2023-06-01", gate=True)
+    report = jobs.run_daily(spark, base, "2023-06-01", gate=False).collect()
+    assert report[0]["status"] == "NO_DATA"
+    assert spark.read.parquet(jobs.lake(base)["revenue"]).count() == before
