@@ -30,19 +30,27 @@ def _lit_array(values: list[str]) -> Column:
 
 
 def raw_events_from(events: DataFrame) -> DataFrame:
-    """Project the driver ``events`` frame onto the producer event schema."""
+    """Project the driver ``events`` frame onto the producer event schema.
+
+    Values used by several output columns (the props key, the cleaned type,
+    the has-product flag) are computed once in an intermediate projection;
+    Catalyst keeps such non-cheap shared expressions un-inlined.
+    """
     e = F.col("event_id")
     u = F.col("user_id")
     t = F.col("event_type")
-    value = F.col("value")
-    p = F.get_json_object(F.col("props"), "$.k").try_cast("long") % 50
-
     clean = (F.when(t == "view", "product_view")
              .when(t == "click", "add_to_cart")
              .when(t == "purchase", "purchase")
              .when(t == "signup", "page_view")
              .when(t == "error", F.when(e % 2 == 0, "search").otherwise("wishlist_add")))
-    has_product = clean.isin("product_view", "add_to_cart", "purchase", "wishlist_add")
+    base = events.select(
+        "event_id", "user_id", "ts", "value",
+        (F.get_json_object(F.col("props"), "$.k").try_cast("long") % 50).alias("_p"),
+        clean.alias("_clean"),
+    ).withColumn("_hasp", F.col("_clean").isin("product_view", "add_to_cart", "purchase", "wishlist_add"))
+
+    p, value, has_product = F.col("_p"), F.col("value"), F.col("_hasp")
     iso = F.concat(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
     bucket = u % 20
 
@@ -56,7 +64,7 @@ def raw_events_from(events: DataFrame) -> DataFrame:
                       .otherwise(iso)),
         "user_id": F.when(e % 107 != 0, F.concat(F.lit("U"), F.lpad(u.cast("string"), 6, "0"))),
         "session_id": F.concat(F.lit("S"), u.cast("string"), F.lit("-"), F.dayofmonth("ts").cast("string")),
-        "event_type": F.when(e % 109 == 0, F.lit("click")).otherwise(clean),
+        "event_type": F.when(e % 109 == 0, F.lit("click")).otherwise(F.col("_clean")),
         "product_id": F.when(has_product, F.concat(F.lit("P"), F.lpad((p + 1).cast("string"), 3, "0"))),
         "product_name": F.when(has_product, F.concat(F.lit("Product "), (p + 1).cast("string"))),
         "category": F.when(has_product & (p % 13 != 0),
@@ -71,11 +79,11 @@ def raw_events_from(events: DataFrame) -> DataFrame:
         "country": F.element_at(_lit_array(FIXTURE_COUNTRIES), (u % 10 + 1).cast("int")),
         "ip_address": F.lit(None).cast("string"),
         "user_agent": F.lit(None).cast("string"),
-        "revenue": F.when((clean == "purchase") & (e % 7 != 0),
+        "revenue": F.when((F.col("_clean") == "purchase") & (e % 7 != 0),
                           (value.cast("decimal(12,2)") * (e % 5 + 1)).cast("double")),
         "schema_version": F.when(e % 2 == 0, F.lit("1.0")),
     }
-    return events.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
+    return base.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
