@@ -141,6 +141,11 @@ EXTRA_CTES: list[tuple[str, str]] = []
 
 
 def register_cte(name: str, sql: str) -> None:
+    """Add (or replace) a named CTE; idempotent across re-imports."""
+    for i, (existing, _) in enumerate(EXTRA_CTES):
+        if existing == name:
+            EXTRA_CTES[i] = (name, sql)
+            return
     EXTRA_CTES.append((name, sql))
 
 
