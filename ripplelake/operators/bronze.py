@@ -56,14 +56,19 @@ def landing_partition(payload_col: str = "raw_payload") -> list[Column]:
     return [F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day")]
 
 
-def land_bronze_json(payloads: DataFrame, path: str, payload_col: str = "raw_payload"):
+def land_bronze_json(payloads: DataFrame, path: str, payload_col: str = "raw_payload",
+                     skip_malformed: bool = False) -> None:
     """A2: append raw JSON lines under ``year=/month=/day=`` by event day.
 
-    Blank lines are skipped; everything else (also malformed text) is kept
-    for audit and rejected later in Silver.  One text file per task and
-    partition day; no driver-side buffering.
+    Blank lines are skipped.  By default malformed text is kept for audit
+    and rejected later in Silver (``malformed_json``); ``skip_malformed``
+    drops it at landing instead, as a consumer that discards undecodable
+    messages does.  One text file per task and partition day; no
+    driver-side buffering.
     """
     body = F.col(payload_col)
     kept = payloads.filter(body.isNotNull() & (F.trim(body) != ""))
+    if skip_malformed:
+        kept = kept.filter(F.get_json_object(body, "$").isNotNull())
     (kept.select(body.alias("value"), *landing_partition(payload_col))
          .write.mode("append").partitionBy("year", "month", "day").text(path))

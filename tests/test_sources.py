@@ -73,3 +73,11 @@ def test_connector_columns_feed_the_envelope(spark):
     env = bronze.bronze_envelope(readers.normalize_records(df)).first()
     assert env["raw_payload"] == '{"event_id": "E1"}' and env["partition_key"] == "U1"
     assert env["sequence_number"] == "42" and (env["ingest_year"], env["ingest_day"]) == (2024, 2)
+
+
+def test_landing_can_skip_malformed(spark):
+    path = scratch_path(spark, "bronze-skip")
+    payloads = bronze.to_payload(PipelineTables(spark, SF["0.001"]).raw_events)
+    extra = spark.createDataFrame([("{not json",), ("",)], "raw_payload string")
+    bronze.land_bronze_json(payloads.unionByName(extra), path, skip_malformed=True)
+    assert spark.read.text(path).count() == 1000
