@@ -60,17 +60,20 @@ def read_event_stream(spark: SparkSession, source: str, fmt: str = "text",
     return normalize_records(df)
 
 
-def read_bronze(spark: SparkSession, path: str, run_date=None) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, run_date=None, skip_malformed: bool = False) -> DataFrame:
     """A3: Bronze NDJSON (``year=/month=/day=`` dirs) parsed to raw events.
 
-    Blank lines are skipped; malformed lines are kept with ``_corrupt`` set
-    so the Silver step rejects them as ``malformed_json`` (auditable).
+    Blank lines are skipped.  Malformed lines are kept with ``_corrupt`` set
+    so the Silver step rejects them as ``malformed_json`` (auditable), or
+    dropped here with ``skip_malformed``.
     """
     df = spark.read.text(path)
     if run_date is not None:
         d = as_date(run_date)
         df = df.filter((F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day))
     df = df.filter(F.trim(F.col("value")) != "")
+    if skip_malformed:
+        df = df.filter(F.get_json_object(F.col("value"), "$").isNotNull())
     return parse_events(df, "value")
 
 

@@ -30,6 +30,7 @@ def test_read_bronze_one_day_and_malformed(spark, landed):
     assert allrows.filter(F.col(REASON) == "malformed_json").count() == 1
     # valid rows survive the JSON round trip unchanged in number
     assert allrows.filter(F.col(REASON).isNull()).count() == 916
+    assert readers.read_bronze(spark, landed, skip_malformed=True).count() == 1000
 
 
 def test_loaders(spark):
