@@ -52,8 +52,10 @@ def run_medallion(spark: SparkSession, raw: DataFrame, base: str, run_date=None)
     """Raw events -> Silver + dead letter + stats -> daily Gold tables.
 
     ``raw`` is any raw-event frame (Bronze read with ``read_bronze`` or a
-    typed frame).  Returns one row per written table with its row count,
-    plus the transform stats row, all read back from storage.
+    typed frame).  With ``run_date`` (``raw`` is that day's Bronze) every
+    output, the dead letter included, replaces its partitions, so a rerun is
+    idempotent.  Returns one row per written table with its row count, plus
+    the transform stats row, all read back from storage.
     """
     p = lake(base)
     tagged = silver.tag_records(raw)
@@ -65,7 +67,7 @@ def run_medallion(spark: SparkSession, raw: DataFrame, base: str, run_date=None)
                               F.count_if(F.col(silver.REASON).isNull()).alias("total_valid"))
     run_concurrently([
         lambda: sinks.write_silver(silver.to_silver(observed), p["silver"]),
-        lambda: sinks.write_rejected(silver.rejected_records(tagged), p["rejected"]),
+        lambda: sinks.write_rejected(silver.rejected_records(tagged), p["rejected"], run_date),
     ])
     stats = dict(obs.get)
     stats["total_rejected"] = stats["total_read"] - stats["total_valid"]

@@ -81,13 +81,21 @@ def write_silver(df: DataFrame, path: str) -> None:
     write_partitioned(enforce_schema(df, SILVER_SCHEMA), path, SILVER_PARTITIONS)
 
 
-def write_rejected(df: DataFrame, path: str) -> None:
-    """K7: dead letter as NDJSON, appended under the rejection day.
+def write_rejected(df: DataFrame, path: str, run_date=None) -> None:
+    """K7: dead letter as NDJSON.
 
-    Rejected rows often lack a usable event time, so the partition is the
-    processing day.
+    With ``run_date`` (one Bronze day per run) the rejects land in that run
+    day's partition with dynamic overwrite, so a rerun replaces them.
+    Without it they are appended under the processing day (rejected rows
+    often have no usable event time).
     """
-    today = F.current_date()
-    (df.withColumn("year", F.year(today)).withColumn("month", F.month(today))
-       .withColumn("day", F.dayofmonth(today))
-       .write.mode("append").partitionBy("year", "month", "day").json(path))
+    import datetime as _dt
+    if run_date is not None:
+        d = run_date if isinstance(run_date, _dt.date) else _dt.date.fromisoformat(str(run_date))
+        day, mode = F.lit(d), "overwrite"
+    else:
+        day, mode = F.current_date(), "append"
+    (df.withColumn("year", F.year(day)).withColumn("month", F.month(day))
+       .withColumn("day", F.dayofmonth(day))
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .partitionBy("year", "month", "day").json(path))

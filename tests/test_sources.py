@@ -82,3 +82,15 @@ def test_landing_can_skip_malformed(spark):
     extra = spark.createDataFrame([("{not json",), ("",)], "raw_payload string")
     bronze.land_bronze_json(payloads.unionByName(extra), path, skip_malformed=True)
     assert spark.read.text(path).count() == 1000
+
+
+def test_dead_letter_rerun_is_idempotent_with_run_date(spark):
+    from ripplelake.operators.silver import rejected_records
+    from ripplelake.operators.silver import tag_records as tag
+    rej = rejected_records(tag(PipelineTables(spark, SF["0.001"]).raw_events))
+    path = scratch_path(spark, "dead")
+    sinks.write_rejected(rej, path, "2024-01-15")
+    sinks.write_rejected(rej, path, "2024-01-15")
+    assert spark.read.json(path).count() == 84
+    sinks.write_rejected(rej, path)          # ad-hoc run: appended under today
+    assert spark.read.json(path).count() == 168
