@@ -99,3 +99,21 @@ def test_streaming_health_alarm(spark):
     rules = monitoring.rules_frame(spark, monitoring.STREAMING_RULES)
     out = monitoring.threshold_alarm(series, rules).collect()
     assert out and all(r["alarm_name"] == "spark-batch-processing-slow" and not r["in_alarm"] for r in out)
+
+
+def test_concurrent_pipeline_with_processing_time_triggers(spark):
+    src = scratch_path(spark, "conc-src")
+    to_payload(PipelineTables(spark, SF["0.001"]).raw_events).write.text(src)
+    base, ck = scratch_path(spark, "conc-lake"), scratch_path(spark, "conc-ck")
+    pipe = run_streaming_pipeline(spark, src, base, ck, trigger="1 second")
+    try:
+        assert all(q.isActive for q in pipe.queries.values())
+        for stage in (["bronze"], ["silver", "rejected"], ["gold-sales", "gold-users", "gold-products"]):
+            for name in stage:
+                pipe.queries[name].processAllAvailable()
+        assert spark.read.parquet(f"{base}/silver/cleaned_events").count() == 916
+        assert spark.read.json(f"{base}/silver/rejected").count() == 84
+        assert spark.read.parquet(f"{base}/gold/user_metrics").count() > 0
+    finally:
+        pipe.stop()
+    assert not any(q.isActive for q in pipe.queries.values())
