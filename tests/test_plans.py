@@ -67,3 +67,10 @@ def test_daily_job_empty_day_reports_no_data(spark):
     report = jobs.run_daily(spark, base, "2023-06-01", gate=False).collect()
     assert report[0]["status"] == "NO_DATA"
     assert spark.read.parquet(jobs.lake(base)["revenue"]).count() == before
+
+
+def test_batch_dedup_collapses_copies_before_the_shuffle(spark):
+    from ripplelake.operators.silver import dedup_events
+    p = plan(dedup_events(PipelineTables(spark, SF["0.001"]).silver_events))
+    exchange_at = p.index("Exchange hashpartitioning(event_id")
+    assert "partial_min(struct(" in p[exchange_at:]   # map-side partial below the exchange
