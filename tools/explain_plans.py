@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from ripplelake.operators import gold, quality
+    from ripplelake.operators.silver import dedup_events
     from ripplelake.plans import analytics
     from ripplelake.plans.tables import PipelineTables
     from ripplelake.session import build_session, scratch_path
@@ -35,6 +36,7 @@ def main() -> None:
         "q05 (share of total after aggregation)": analytics.run_query(
             spark, "q05", {"gold_revenue_metrics": revenue}),
         "q08 (TakeOrderedAndProject)": analytics.run_query(spark, "q08", {"gold_revenue_metrics": revenue}),
+        "dedup_events (partial min(struct) before the exchange)": dedup_events(silver),
     }
     for name, df in plans.items():
         print(f"===== {name}")
