@@ -74,3 +74,18 @@ def test_batch_dedup_collapses_copies_before_the_shuffle(spark):
     p = plan(dedup_events(PipelineTables(spark, SF["0.001"]).silver_events))
     exchange_at = p.index("Exchange hashpartitioning(event_id")
     assert "partial_min(struct(" in p[exchange_at:]   # map-side partial below the exchange
+
+
+def test_hot_user_is_collapsed_map_side_and_counted_exactly(spark):
+    from pyspark.sql import functions as F
+    s = PipelineTables(spark, SF["0.001"]).silver_events
+    hot = s.withColumn("user_id", F.lit("UHOT")).withColumn("device_type", F.lit("mobile")) \
+           .withColumn("country", F.lit("US"))
+    skewed = s.unionByName(hot).unionByName(hot).unionByName(hot)   # hot user ~3/4 of rows
+    seg = gold.user_segments(skewed)
+    p = plan(seg)
+    first_exchange = p.rindex("Exchange hashpartitioning")
+    assert "partial_count" in p[first_exchange:]                   # partial aggregate below the shuffle
+    got = {r["report_date"]: r["event_count"] for r in seg.filter("user_id = 'UHOT'").collect()}
+    want = {r[0]: 3 * r[1] for r in s.groupBy(F.date_format("event_date", "yyyy-MM-dd")).count().collect()}
+    assert got == want
