@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import sys
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -83,6 +84,24 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Frames of one row per group are broadcast below this many rows, else a group is dealt in SALTS parts.
+BROADCAST_GROUPS, SALTS = 50_000, 64
+
+
+def join_groups(df: DataFrame, groups: DataFrame, keys: list[str], salt: Column, how: str = "inner") -> DataFrame:
+    """Join a frame of one row per group, null-safe; ``groups`` is broadcast
+    below BROADCAST_GROUPS rows, else every group is salted."""
+    right = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    if groups.count() <= BROADCAST_GROUPS:
+        out = df.join(F.broadcast(right), on, how)
+    else:
+        right = right.withColumn("_g_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        out = (df.withColumn("_salt", F.pmod(salt, F.lit(SALTS)))
+               .join(right, on & (F.col("_salt") == F.col("_g_salt")), how).drop("_salt", "_g_salt"))
+    return out.drop(*[f"_g_{k}" for k in keys])
+
+
 def running_sum(df: DataFrame, groups: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the earlier rows of the group.
 

@@ -11,14 +11,15 @@ documents link within ``RADIUS`` = 0.25.
   regions and no other.  The first shared x also bounds the overlap by what
   remains behind it, which limits the sizes of the partners that a region
   must try (``most``).
-* **Document pivots** divide regions.  In each region the member of least
-  hash is the pivot, and its distances to the members are measured.  Members
-  take the nearest pivot as home (Voronoi cells); members linked to it are one
-  component at once and need no further comparison with each other.
+* **Document pivots** divide regions.  In each region the members of least
+  hash are pivots, and their distances to the members are measured, a number
+  linear in the region.  Members take a measured pivot as home (Voronoi cells);
+  members linked to a pivot are one component at once and need no further
+  comparison with each other.
 * **Triangle-inequality windows** leave, of the pairs across components, those
   whose distances from a shared pivot differ by at most RADIUS; these go
-  through the next round with another pivot, and the last round measures all
-  that are left.  Regions above ``BLOCK`` members are dealt in pairs of blocks.
+  through the next round with other and more pivots, and the last round
+  measures all that are left.  Regions above ``BLOCK`` members are dealt in pairs of blocks.
 
 Every pair within RADIUS is measured or already connected, so components are
 exact.  Shingles are 64-bit hashes, sets of equal shingles are found by a
@@ -58,8 +59,8 @@ WORDS = 5
 PERCENT, RADIUS = 75, 0.25
 CELLS, CHUNK = 1 << 22, 1 << 16
 BLOCK = 4096
-#: Rounds with one more document pivot before the rest is measured.
-PIVOT_ROUNDS = 2
+#: Document pivots of a region in each round; in the last, all its members.
+PIVOTS = (8, 64, None)
 #: Node tables below this many rows are broadcast (16 bytes a row).
 BROADCAST_NODES = 1_000_000
 WORD_CACHE = 400_000
@@ -212,19 +213,20 @@ def _dealt(members: DataFrame) -> DataFrame:
                      F.greatest("own", "other").alias("j"), "own")
 
 
-def _open_pairs(dealt: DataFrame, state: DataFrame | None, pivots_only: bool, seed: int) -> DataFrame:
+def _open_pairs(dealt: DataFrame, state: DataFrame | None, pivots: int | None, seed: int) -> DataFrame:
     """Pairs of each region that are still to be measured: of the region's
-    pivot only, or all."""
+    ``pivots`` only, or all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def region(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
             node, n, most, own = t["node"], t["n"], t["most"], t["own"]
             part, home, away = t["component"], t["home"], t["away"]
             rank = (node.astype(np.uint64) + np.uint64(seed)) * _MIX
-            rows = [int(np.argmin(rank ^ (rank >> np.uint64(31))))] if pivots_only and len(node) > 4 else range(len(node) - 1)
+            few = pivots is not None and len(node) > pivots
+            rows = np.argpartition(rank ^ (rank >> np.uint64(31)), pivots)[:pivots] if few else range(len(node) - 1)
             a, b = [], []
             one_block = t["i"][0] == t["j"][0]
             for x in rows:
-                to = slice(0, None) if pivots_only and len(node) > 4 else slice(x + 1, None)
+                to = slice(0, None) if few else slice(x + 1, None)
                 ok = (n[to] <= most[x]) & (n[x] <= most[to]) & (part[to] != part[x]) & (node[to] != node[x])
                 if not one_block:
                     ok &= own[to] != own[x]
@@ -337,11 +339,13 @@ def components(docs: DataFrame) -> DataFrame:
     dealt = _dealt(_members(classes))
     measured: DataFrame | None = None
     state: DataFrame | None = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        pairs = _open_pairs(dealt, state, turn < PIVOT_ROUNDS, turn)
+    for turn, pivots in enumerate(PIVOTS):
+        pairs = _open_pairs(dealt, state, pivots, turn)
         if measured is not None:
             pairs = pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti")
         pairs = cut(pairs, "open-pairs")
+        if state is not None and pairs.isEmpty():
+            continue
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         found = _measure(pairs, _sets(docs, nodes, classes))
         measured = found if measured is None else measured.union(found)

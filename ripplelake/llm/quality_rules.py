@@ -11,7 +11,7 @@ that fails the base rules.
 Scale: texts are scanned once into a narrow statistics table.  Each step is one
 or two aggregations per group with partial sums (a hot source is summed inside
 every task); the table of estimates has one row per group and is joined by a
-broadcast only below ``BROADCAST_GROUPS`` rows, else by a shuffle with the
+broadcast only below ``common.BROADCAST_GROUPS`` rows, else by a shuffle with the
 group salted.
 
 Defined cases: a null or empty text has zero words, fails the base rules and is
@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, text_of, words_of
+from .common import WHITE, cut, join_groups, text_of, words_of
 
 #: Base rules.
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
@@ -44,7 +44,6 @@ FLOOR = {"z_length": 0.1, "z_symbols": 0.35, "z_lines": 0.8, "z_repeats": 0.8, "
 Z = list(FLOOR)
 #: Squared Mahalanobis distance above which a row is an outlier.
 CUTOFF = 60.0
-BROADCAST_GROUPS, SALTS = 50_000, 64
 ACCURACY = 2000  # of percentile_approx: a rank is right to 1/2000
 STARTS = ("round", "box", "plain")
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -93,20 +92,6 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))}).drop("_n_lines", "_n_kinds")
 
 
-def _join_groups(df: DataFrame, groups: DataFrame, keys: list[str], salt: Column, how: str = "inner") -> DataFrame:
-    """Join a frame of one row per group, null-safe; ``groups`` is broadcast
-    below BROADCAST_GROUPS rows, else every group is salted."""
-    right = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
-    if groups.count() <= BROADCAST_GROUPS:
-        out = df.join(F.broadcast(right), on, how)
-    else:
-        right = right.withColumn("_g_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        out = (df.withColumn("_salt", F.pmod(salt, F.lit(SALTS)))
-               .join(right, on & (F.col("_salt") == F.col("_g_salt")), how).drop("_salt", "_g_salt"))
-    return out.drop(*[f"_g_{k}" for k in keys])
-
-
 def _row_salt() -> Column:
     return F.xxhash64("n_words", "word_chars", "n_symbols", "n_repeat_words", *Z)
 
@@ -148,7 +133,7 @@ def _concentrate(rows: DataFrame, distances: dict[str, Column]) -> DataFrame:
         "group", *Z, *[f"d_{s}" for s in distances])
     limits = cut(rows.groupBy("group").agg(*[F.percentile_approx(f"d_{s}", KEEP, ACCURACY).alias(f"q_{s}")
                                              for s in distances]), "mcd-limits")
-    near = _join_groups(rows, limits, ["group"], F.xxhash64(*Z))
+    near = join_groups(rows, limits, ["group"], F.xxhash64(*Z))
     aggregates = []
     for s in distances:
         z = [F.when(F.col(f"d_{s}") <= F.col(f"q_{s}"), F.col(c)) for c in Z]
@@ -179,23 +164,23 @@ def fit(stats: DataFrame) -> DataFrame:
     groups = cut(sizes.join(by_lang, F.col("lang").eqNullSafe(F.col("_l")), "left")
                  .select("lang", "source", name.alias("group")), "mcd-groups")
     salt = F.xxhash64(*Z)
-    rows = cut(_join_groups(sound, groups.filter("group is not null"), ["lang", "source"], salt)
+    rows = cut(join_groups(sound, groups.filter("group is not null"), ["lang", "source"], salt)
                .select("group", *Z), "mcd-rows")
 
     middle = cut(rows.groupBy("group").agg(*[F.percentile_approx(c, 0.5, ACCURACY).alias(f"mid_{c}") for c in Z]),
                  "mcd-middle")
-    centred = _join_groups(rows, middle, ["group"], salt)
+    centred = join_groups(rows, middle, ["group"], salt)
     spread = cut(centred.groupBy("group").agg(
         *[F.max(f"mid_{c}").alias(f"mid_{c}") for c in Z],
         *[F.greatest(1.4826 * F.percentile_approx(F.abs(F.col(c) - F.col(f"mid_{c}")), 0.5, ACCURACY),
                      F.lit(FLOOR[c])).alias(f"scale_{c}") for c in Z]), "mcd-spread")
-    start = _join_groups(rows, spread, ["group"], salt)
+    start = join_groups(rows, spread, ["group"], salt)
     unit = [F.abs(F.col(c) - F.col(f"mid_{c}")) / F.col(f"scale_{c}") for c in Z]
     found = _concentrate(start, {"round": reduce(lambda a, b: a + b, [u * u for u in unit]),
                                  "box": F.greatest(*unit),
                                  "plain": reduce(lambda a, b: a + b, unit)})
     for _ in range(STEPS):
-        found = _concentrate(_join_groups(rows, found, ["group"], salt), {s: _squares(s) for s in STARTS})
+        found = _concentrate(join_groups(rows, found, ["group"], salt), {s: _squares(s) for s in STARTS})
 
     least = F.least(*[f"det_{s}" for s in STARTS])
     columns = [f"m{i}" for i in range(len(Z))] + [f"w{i}{j}" for i in range(len(Z)) for j in range(i + 1)]
@@ -207,7 +192,7 @@ def fit(stats: DataFrame) -> DataFrame:
 
 def judge(stats: DataFrame, estimates: DataFrame) -> DataFrame:
     """Add ``distance`` (squared Mahalanobis; null without an estimate) and ``kept``."""
-    df = _join_groups(stats, estimates, ["lang", "source"], _row_salt(), "left")
+    df = join_groups(stats, estimates, ["lang", "source"], _row_salt(), "left")
     df = df.withColumn("distance", _squares("best"))
     df = df.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True)))
     return df.drop(*[c for c in estimates.columns if c.endswith("_best")], *Z)
@@ -228,4 +213,8 @@ def keep(docs: DataFrame) -> DataFrame:
     """The rows that pass, with all their columns."""
     estimates = fit(statistics_table(docs))
     rows = docs.select(F.struct("*").alias("_row"), "text", "lang", "source")
-    return judge(with_statistics(rows), estimates).filter("kept").select("_row.*")
+    stats = with_statistics(rows)
+    # A condition that isn't deterministic stays above the statistics; pushed
+    # below them, the filter would repeat their whole expressions many times.
+    stats = stats.withColumn("base_failed", F.col("base_failed") & (F.spark_partition_id() >= 0))
+    return judge(stats, estimates).filter("kept").select("_row.*")
