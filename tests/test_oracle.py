@@ -4,10 +4,11 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
+from ripplelake.plans import registry
 from tools.check_oracle import compare, connect
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,8 @@ def con():
 
 
 def test_registry_is_consistent():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(QUERIES) >= 60
     rows_only = sorted(set(QUERIES) - set(ORACLES))
     assert rows_only == ["daily_revenue", "top_products_cohort", "x02"]
