@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, packing, quality_classifier, quality_rules
+from . import fingerprints, lm_scoring, mixing, ngram_join, packing, quality_classifier, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.taken_words(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base score and log-frequency Bloom filter score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.train(docs))
+
+
+@query
+def op2_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invertible Bloom lookup fingerprints of every document and its edited text."""
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
