@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import fingerprints, lm_scoring, mixing, ngram_join, packing, quality_classifier, quality_rules
-from .common import table
+from ..session import scratch_path
+from . import (
+    fingerprints,
+    lm_scoring,
+    mixing,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    url_filters,
+    warc,
+)
+from .common import LOWER, UPPER, WHITE_RUN, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +83,105 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invertible Bloom lookup fingerprints of every document and its edited text."""
     return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
+def _tokens_sql() -> str:
+    words = f"regexp_extract_all(coalesce(text, ''), '{WHITE_RUN.replace('[', '[^', 1)}')"
+    return f"""
+WITH kept AS (
+  SELECT source, lang, len({words}) AS words,
+         len(list_filter({words}, lambda w: regexp_matches(w, '{token_counts.SOLID}'))) AS solid,
+         len(regexp_extract_all(coalesce(text, ''), '{token_counts.RUNS}')) AS runs
+  FROM documents
+  WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)
+)
+SELECT source, lang, 'words-1' AS version, count(*) AS n_docs, CAST(sum(solid) AS BIGINT) AS n_tokens
+FROM kept GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'runs-1', count(*), CAST(sum(runs) AS BIGINT) FROM kept GROUP BY ALL"""
+
+
+ORACLES["op1_token_rollups"] = _tokens_sql()
+
+
+@query
+def op1_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by source, language and tokenizer version after a load, deletions and a revision."""
+    store = token_counts.create(spark, scratch_path(spark, "token-store"))
+    counts = token_counts.document_counts(table(spark, sf_dir, "documents"))
+    return token_counts.corpus_history(counts, table(spark, sf_dir, "labels"), store)
+
+
+ORACLES["op3_url_cascade"] = f"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), keys AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), rules(verdict, h, p) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+)
+SELECT page_id, host, path,
+       (SELECT max_by(h || p, length(h || p)) FROM rules
+        WHERE (host = h OR suffix(host, '.' || h)) AND starts_with(path, p)) AS rule,
+       coalesce((SELECT max_by(verdict, length(h || p)) FROM rules
+                 WHERE (host = h OR suffix(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
+FROM keys"""
+
+
+@query
+def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL by a Bloom filter cascade."""
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
+def _warc_sql() -> str:
+    def r(x: str, pattern: str, to: str) -> str:
+        return f"regexp_replace({x}, '{pattern}', {to}, 'g')"
+
+    text = r(r("payload", warc.SILENT_RUN, "' '"), warc.COMMENT, "' '")
+    text = r(r(r(text, r"\n", "' '"), warc.BLOCK_TAG, "chr(10)"), warc.TAG, "''")
+    for name, char in warc.ENTITIES:
+        text = f"replace({text}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
+    text = f"trim({r(r(text, warc.BLANKS, chr(39) + ' ' + chr(39)), warc.BREAKS, 'chr(10)')}, ' ' || chr(10))"
+
+    def urn(seed: str) -> str:
+        h = f"sha256({seed})"
+        return "'urn:uuid:' || concat_ws('-', " + ", ".join(
+            f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")"
+
+    return f"""
+WITH source AS (
+  SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages
+), responses AS (
+  SELECT *, {urn("concat_ws(chr(10), coalesce(CAST(page_id AS VARCHAR), '-'), target_uri, sha256(payload))")} AS refers_to,
+         'sha256:' || sha256(payload) AS source_digest FROM source
+), made AS (
+  SELECT page_id, refers_to, target_uri, source_digest, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
+         concat_ws(chr(13) || chr(10), 'source-header: HTTP/1.1 200 OK',
+                   'source-header: Content-Type: text/html; charset=utf-8',
+                   'source-header: Content-Length: ' || octet_length(encode(payload)),
+                   'source-payload-digest: ' || source_digest,
+                   'title: ' || regexp_replace(regexp_extract(payload, '{warc.TITLE}', 1), '[\\x20\\x09-\\x0D]+', ' ', 'g'),
+                   'language: ' || regexp_extract(payload, '{warc.LANGUAGE}', 1),
+                   array_to_string(list_transform(regexp_extract_all(payload, '{warc.LINK}', 1),
+                                                  lambda x: 'outlink: ' || x), chr(13) || chr(10)))
+         || chr(13) || chr(10) AS content
+  FROM responses
+  UNION ALL
+  SELECT page_id, refers_to, target_uri, source_digest, 'conversion', 'text/plain; charset=utf-8', {text} FROM responses
+)
+SELECT page_id, warc_type, {urn("concat_ws(chr(10), warc_type, refers_to)")} AS record_id, refers_to, target_uri,
+       source_digest, 'sha256:' || sha256(content) AS block_digest, content_type,
+       octet_length(encode(content)) AS content_length, content FROM made"""
+
+
+ORACLES["op4_warc_derivatives"] = _warc_sql()
+
+
+@query
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    records = warc.responses(table(spark, sf_dir, "pages"))
+    return warc.derivatives(records, ["page_id"]).drop("date")
