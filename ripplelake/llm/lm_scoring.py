@@ -47,7 +47,7 @@ FOLDS = 10
 ADD = 0.1
 BASE, MU = 1.5, 20.0
 PROBES, BITS_AN_ENTRY = 4, 8
-BROADCAST_MB = 128
+BROADCAST_MB = 160
 CHUNK_TOKENS = 1 << 20
 WORD_CACHE = 300_000
 #: Hashes of the end token and of the start context.
@@ -180,9 +180,11 @@ def train(docs: DataFrame) -> Model:
             for at in _places(everything[q >= level], level, bits):
                 table[at.astype(np.int64)] = True
         words = keys[0] != START
+        wide = int(counts[0].max(initial=0))
         return pa.table({"segment": [t.column("segment")[0].as_py()], "bits": [int(bits)],
                          "filter": [np.packbits(table, bitorder="little").tobytes()],
-                         "words": [keys[0][words].tobytes()], "counts": [counts[0][words].tobytes()],
+                         "words": [keys[0][words].tobytes()],
+                         "counts": [counts[0][words].astype(np.uint32 if wide < 1 << 32 else np.uint64).tobytes()],
                          "n_words": [int(words.sum())], "n_tokens": [int(counts[0][words].sum())]},
                         pa.schema([("segment", pa.int32()), ("bits", pa.int64()), ("filter", pa.binary()),
                                    ("words", pa.binary()), ("counts", pa.binary()), ("n_words", pa.int64()),
@@ -200,26 +202,24 @@ def train(docs: DataFrame) -> Model:
 
 
 class Part:
-    """A group of a model's segments, as it is probed in a task."""
+    """A group of a model's segments, as it is probed in a task: views of the broadcast bytes."""
 
-    def __init__(self, rows: list[tuple], segments: int) -> None:
+    def __init__(self, held: tuple, segments: int) -> None:
+        places, table, words, counts, kind = held
         self.shift = np.uint64(64 - segments.bit_length() + 1)
         self.offset = np.full(segments, -1, dtype=np.int64)
         self.bits = np.ones(segments, dtype=np.uint64)
-        at = 0
-        for s, bits, packed, _, _ in rows:
-            self.offset[s], self.bits[s], at = at, bits, at + 8 * len(packed)
-        self.table = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint8)
-        ordered = sorted(rows)
-        self.words = np.frombuffer(b"".join(r[3] for r in ordered), dtype=np.uint64)
-        self.counts = np.frombuffer(b"".join(r[4] for r in ordered), dtype=np.int64)
+        for s, bits, at in places:
+            self.offset[s], self.bits[s] = at, bits
+        self.table = np.frombuffer(table, dtype=np.uint8)
+        self.words, self.counts = np.frombuffer(words, dtype=np.uint64), np.frombuffer(counts, dtype=kind)
 
     def exact(self, words: np.ndarray) -> np.ndarray:
         """Exact counts of words; 0 for those of other parts."""
         if not len(self.words):
             return np.zeros(len(words), dtype=np.int64)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], 0)
+        return np.where(self.words[at] == words, self.counts[at].astype(np.int64), 0)
 
     def levels(self, keys: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
         """Levels read by repeated probes; 0 for keys of other parts."""
@@ -246,11 +246,18 @@ def _groups(model: Model) -> list[list[int]]:
     return [list(range(model.segments))[i::passes] for i in range(passes)]
 
 
-def _collected(model: Model, group: list[int] | None) -> list[tuple]:
-    """A group's segments, at most about BROADCAST_MB."""
+def _collected(model: Model, group: list[int] | None) -> tuple:
+    """A group's segments in order, at most about BROADCAST_MB: places in the
+    filter, filter, sorted word hashes, their counts and the counts' type."""
     df = model.table if group is None else model.table.filter(F.col("segment").isin(group))
-    return [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r)
-            for r in df.select("segment", "bits", "filter", "words", "counts").toLocalIterator()]
+    places, table, words, counts = [], bytearray(), bytearray(), []
+    for r in df.orderBy("segment").select("segment", "bits", "filter", "words", "counts").toLocalIterator():
+        places.append((r[0], r[1], 8 * len(table)))
+        table += r[2]
+        words += r[3]
+        counts.append(np.frombuffer(r[4], dtype=np.uint32 if 2 * len(r[4]) == len(r[3]) else np.uint64))
+    counts = np.concatenate(counts) if counts else np.empty(0, np.uint32)
+    return places, bytes(table), bytes(words), counts.tobytes(), counts.dtype.str
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
