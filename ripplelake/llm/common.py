@@ -11,6 +11,7 @@ import math
 import sys
 from functools import reduce
 
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,14 @@ def ship(module_name: str) -> None:
 ship(__name__)
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

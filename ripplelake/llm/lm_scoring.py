@@ -34,12 +34,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import TEXTS, cut, fold, partitions, power_of_two, ship
+from .common import TEXTS, WordHashes, cut, fold, partitions, power_of_two, ship
 
 ship(__name__)
 
@@ -71,19 +70,13 @@ class Hasher:
     """Hashes of a text's tokens; remembers those of words."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = WordHashes()
 
     def __call__(self, text: bytes | None) -> np.ndarray:
-        known = self.known
-        if len(known) > WORD_CACHE:
-            known.clear()
-        out = []
-        for w in (text or b"").lower().split():
-            v = known.get(w)
-            if v is None:
-                v = known[w] = xxhash.xxh64_intdigest(w)
-            out.append(v)
-        return np.append(np.array(out, dtype=np.uint64), END)
+        if len(self.known) > WORD_CACHE:
+            self.known.clear()
+        words = (text or b"").lower().split()
+        return np.append(np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words)), END)
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:

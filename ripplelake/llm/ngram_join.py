@@ -45,11 +45,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TEXTS, cut, partitions, ship
+from .common import TEXTS, WordHashes, cut, partitions, ship
 from .components import connected_components
 
 ship(__name__)
@@ -71,7 +70,7 @@ class Shingler:
     """Sets of shingle hashes of texts; remembers the hashes of words."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = WordHashes()
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         words = (text or b"").lower().split()
@@ -80,12 +79,7 @@ class Shingler:
         known = self.known
         if len(known) > WORD_CACHE:
             known.clear()
-        h = np.empty(len(words), dtype=np.uint64)
-        for i, w in enumerate(words):
-            v = known.get(w)
-            if v is None:
-                v = known[w] = xxhash.xxh64_intdigest(w)
-            h[i] = v
+        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         k = min(WORDS, len(h))
         with np.errstate(over="ignore"):
             g = h[:len(h) - k + 1] + np.uint64(k)
@@ -108,8 +102,7 @@ def shingle_sketch(docs: DataFrame) -> bytes:
         for b in batches:
             sets = [shingles(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
             if sets:
-                found, n = np.unique(_cells(np.concatenate(sets)), return_counts=True)
-                total[found] += n.astype(np.uint32)
+                total += np.bincount(_cells(np.concatenate(sets)), minlength=CELLS).astype(np.uint32)
         parts = [(k, total[k * CHUNK:(k + 1) * CHUNK]) for k in range(CELLS // CHUNK)]
         parts = [(k, x) for k, x in parts if x.any()]
         # A task's count above 255 is clipped: the order is a heuristic.
@@ -158,8 +151,9 @@ def shingle_rows(docs: DataFrame) -> DataFrame:
                "shingle-rows", TEXTS)
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """(pivot, node, n, most) of first-level regions with two or more classes.
+def _members(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (pivot, node, n, most) of first-level regions, and the pairs
+    (a, b) of regions of two, which need no pivot.
 
     A pair in a region must be tried if each one's size is at most the other's ``most``.
     """
@@ -180,23 +174,43 @@ def _members(classes: DataFrame) -> DataFrame:
                      pa.array(n.astype(np.int32)), pa.array(most.astype(np.int32))], ["pivot", "node", "n", "most"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows arrive sorted by pivot; drops those that are alone."""
+        """Rows arrive sorted by pivot; drops those that are alone.  A region of
+        two inside a batch becomes a row with its second member as ``other``."""
         last, waiting = None, None
         for b in batches:
             if waiting is not None:
                 b = pa.Table.from_batches([waiting, b]).combine_chunks().to_batches()[0]
-            p = b.column("pivot").to_numpy()
+            p, node, n, most = (b.column(c).to_numpy() for c in ("pivot", "node", "n", "most"))
             if not len(p):
                 continue
             same = p[1:] == p[:-1]
-            keep = np.append(same, False) | np.concatenate([[last is not None and waiting is None and p[0] == last], same])
+            from_before = last is not None and waiting is None and p[0] == last
+            keep = np.append(same, False) | np.concatenate([[from_before], same])
+            start = np.concatenate([[0], np.flatnonzero(~same) + 1])
+            size = np.diff(np.append(start, len(p)))
+            two = size == 2
+            two[-1] = False
+            two[0] &= not from_before
+            x = start[two]
+            keep[x] = keep[x + 1] = False
+            x = x[(n[x] <= most[x + 1]) & (n[x + 1] <= most[x])]
+            if len(x):
+                both = np.unique(np.stack([np.minimum(node[x], node[x + 1]), np.maximum(node[x], node[x + 1])], 1), axis=0)
+                none = np.zeros(len(both), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(len(both), np.int64)), pa.array(both[:, 0]), pa.array(none), pa.array(none),
+                     pa.array(both[:, 1])], ["pivot", "node", "n", "most", "other"])
             last, waiting = p[-1], None if keep[-1] else b.slice(len(p) - 1, 1)
-            yield b.filter(pa.array(keep))
+            kept = b.filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(np.full(kept.num_rows, -1, np.int64))],
+                                             ["pivot", "node", "n", "most", "other"])
 
     kinds = "pivot long, node long, n int, most int"
     rows = classes.filter("n_shingles > 0").select("node", "n_shingles", "prefix").mapInArrow(post, kinds)
     rows = rows.repartition(partitions(classes.sparkSession), "pivot").sortWithinPartitions("pivot")
-    return cut(rows.mapInArrow(shared, kinds), "region-members")
+    found = cut(rows.mapInArrow(shared, kinds + ", other long"), "region-members")
+    twos = found.filter("other >= 0").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    return found.filter("other < 0").drop("other"), twos
 
 
 def _dealt(members: DataFrame) -> DataFrame:
@@ -220,7 +234,7 @@ def _open_pairs(dealt: DataFrame, state: DataFrame | None, pivots: int | None, s
         def region(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
             node, n, most, own = t["node"], t["n"], t["most"], t["own"]
             part, home, away = t["component"], t["home"], t["away"]
-            rank = (node.astype(np.uint64) + np.uint64(seed)) * _MIX
+            rank = (node.astype(np.uint64) + np.uint64(seed)) * _MIX  # wraps
             few = pivots is not None and len(node) > pivots
             rows = np.argpartition(rank ^ (rank >> np.uint64(31)), pivots)[:pivots] if few else range(len(node) - 1)
             a, b = [], []
@@ -254,7 +268,12 @@ def _open_pairs(dealt: DataFrame, state: DataFrame | None, pivots: int | None, s
             yield from pairs(held, np.array([0, len(held["node"])]), region)
 
     def pairs(t, cuts, region):
-        found = [region({c: v[a:b] for c, v in t.items()}) for a, b in zip(cuts[:-1], cuts[1:]) if b - a > 1]
+        # regions of one component are done
+        part, starts = t["component"][:cuts[-1]], cuts[:-1]
+        if not len(starts):
+            return
+        mixed = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
+        found = [region({c: v[a:b] for c, v in t.items()}) for a, b in zip(cuts[:-1][mixed], cuts[1:][mixed])]
         if found:
             a, b = (np.concatenate(x) for x in zip(*found))
             both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
@@ -312,17 +331,20 @@ def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _state(measured: DataFrame) -> DataFrame:
-    """Component, home pivot and distance from it of every measured node."""
+    """Component, home pivot and distance from it of every measured node.
+
+    Pivots are the members of least hash, so the measured neighbour of least hash is the home.
+    """
     both = measured.select(F.col("a").alias("node"), F.col("b").alias("home"), "away").union(
         measured.select(F.col("b").alias("node"), F.col("a").alias("home"), "away"))
-    # A pivot is the home of many; homes are taken among the nodes measured most.
-    weight = both.groupBy("home").agg(F.count("*").alias("times"))
-    near = (both.join(weight, "home").groupBy("node")
-            .agg(F.max(F.struct("times", (-F.col("away")).alias("near"), "home")).alias("best"))
-            .select("node", F.col("best.home").alias("home"), (-F.col("best.near")).alias("away")))
-    parts = connected_components(measured.filter("linked"))
-    return cut(near.join(parts, "node", "left")
-               .select("node", F.coalesce("component", "node").alias("component"), "home", "away"), "join-state")
+    homes = (both.groupBy("node").agg(F.min(F.struct(F.xxhash64("home"), "home", "away")).alias("best"))
+             .select("node", "best.home", "best.away"))
+    return cut(homes.join(_parts(measured), "node", "left").withColumn("component", F.coalesce("component", "node")),
+               "join-state")
+
+
+def _parts(measured: DataFrame) -> DataFrame:
+    return connected_components(measured.filter("linked"))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -336,22 +358,32 @@ def components(docs: DataFrame) -> DataFrame:
                   .select("digest", "label", "n_shingles", "prefix",
                           F.coalesce("hash_of_label", "one.text_hash").alias("text_hash"))
                   .withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
-    dealt = _dealt(_members(classes))
+    members, twos = _members(classes)
+    dealt = _dealt(members)
     measured: DataFrame | None = None
     state: DataFrame | None = None
     for turn, pivots in enumerate(PIVOTS):
         pairs = _open_pairs(dealt, state, pivots, turn)
-        if measured is not None:
+        if measured is None:
+            pairs = pairs.union(twos).distinct()
+        else:
             pairs = pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti")
         pairs = cut(pairs, "open-pairs")
-        if state is not None and pairs.isEmpty():
-            continue
+        if pairs.isEmpty():
+            break
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         found = _measure(pairs, _sets(docs, nodes, classes))
         measured = found if measured is None else measured.union(found)
-        state = _state(measured)
-    named = (classes.select("node", "digest", "label", "n_shingles")
-             .join(state.select("node", "component"), "node", "left")
+        if pivots is not None:
+            state = _state(measured)
+    # No round, or a last round without links, leaves the components as they are.
+    if measured is None:
+        parts = classes.select("node", F.col("node").alias("component")).limit(0)
+    elif pivots is not None or found.filter("linked").isEmpty():
+        parts = state.select("node", "component")
+    else:
+        parts = _parts(measured)
+    named = (classes.select("node", "digest", "label", "n_shingles").join(parts, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     least = named.groupBy("component").agg(F.min("label").alias("component_id"))
     named = cut(named.join(least, "component").select("digest", "component_id"), "components")
