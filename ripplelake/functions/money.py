@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(20,6)"      # per-row money value (up to 6 decimals)
-ROUNDING = "decimal(18,6)"   # representation a value is rounded from
+MONEY = "decimal(26,6)"      # per-row money value (up to 6 decimals); sums are decimal(36,6)
+ROUNDING = "decimal(38,6)"   # representation a value is rounded from
 
 
 def _c(col: Column | str) -> Column:
@@ -22,7 +22,7 @@ def _c(col: Column | str) -> Column:
 
 
 def money(col: Column | str) -> Column:
-    return _c(col).cast(MONEY)
+    return _c(col).try_cast(MONEY)
 
 
 def money_sum(col: Column | str) -> Column:
@@ -36,7 +36,7 @@ def to_double(col: Column | str) -> Column:
 
 def round_half_up(col: Column | str, digits: int) -> Column:
     """Round a double half-up at ``digits`` decimals, returning double."""
-    return F.round(_c(col).cast(ROUNDING), digits).cast("double")
+    return F.round(_c(col).try_cast(ROUNDING), digits).cast("double")
 
 
 def ratio(num: Column | str, den: Column | str) -> Column:
@@ -49,11 +49,6 @@ def mean(total: Column | str, n: Column | str) -> Column:
     return ratio(total, n)
 
 
-def exact_avg(col: Column | str) -> Column:
-    """Aggregate: exact arithmetic mean of a money column (double)."""
-    return ratio(money_sum(col), F.count(_c(col)))
-
-
 def share_pct(part: Column | str, whole: Column | str, digits: int = 2) -> Column:
     """Rounded percentage part*100/whole."""
     return round_half_up(ratio(to_double(part) * F.lit(100.0), whole), digits)

@@ -14,6 +14,10 @@ from ..schemas import (COHORT_SEGMENTS, CORRUPT_COL, DAILY_SEGMENTS, ENGAGED_EVE
                        VALID_DEVICE_TYPES, VALID_EVENT_TYPES)
 
 
+#: Largest price, line total or revenue of one event.
+MAX_AMOUNT = 1e12
+
+
 def blank(col: str) -> Column:
     """NULL or empty string (a falsy value in the producer's language)."""
     c = F.col(col)
@@ -34,13 +38,19 @@ def in_domain(col: str, values: list[str]) -> Column:
     return F.coalesce(F.col(col).isin(*values), F.lit(False))
 
 
+def too_large(amount: Column) -> Column:
+    """Not finite, or beyond MAX_AMOUNT; False for NULL."""
+    return F.coalesce(F.isnan(amount) | (F.abs(amount) > F.lit(MAX_AMOUNT)), F.lit(False))
+
+
 def rejection_reason(ts_col: str = "_event_ts", check_corrupt: bool = True) -> Column:
     """First failing validation rule, or NULL for a valid record.
 
     Order: malformed_json, missing_event_id, missing_user_id,
     missing_timestamp, invalid_event_type:<v>, invalid_device_type:<v>,
     invalid_price (<= 0), invalid_quantity (< 1), unparseable_timestamp,
-    missing_country.  A NULL price or quantity is valid.
+    missing_country, price_out_of_range (an amount that is not finite or above
+    MAX_AMOUNT, which sums could not hold).  A NULL price or quantity is valid.
     """
     rules: list[tuple[Column, Column]] = []
     if check_corrupt:
@@ -57,6 +67,8 @@ def rejection_reason(ts_col: str = "_event_ts", check_corrupt: bool = True) -> C
         (F.col("quantity").isNotNull() & (F.col("quantity") < 1), F.lit("invalid_quantity")),
         (F.col(ts_col).isNull(), F.lit("unparseable_timestamp")),
         (F.coalesce(F.trim(F.col("country")), F.lit("")) == F.lit(""), F.lit("missing_country")),
+        (too_large(F.col("price") * F.coalesce(F.col("quantity"), F.lit(1))) | too_large(F.col("price"))
+         | too_large(F.col("revenue")), F.lit("price_out_of_range")),
     ]
     chain = F.when(*rules[0])
     for cond, reason in rules[1:]:
@@ -78,3 +90,13 @@ def segment(spend: Column | str, events: Column | str, variant: str = "daily") -
         cond = spend > F.lit(floor)
         chain = F.when(cond, F.lit(name)) if chain is None else chain.when(cond, F.lit(name))
     return chain.when(events > F.lit(ENGAGED_EVENTS), F.lit("engaged_browser")).otherwise(F.lit("casual_browser"))
+
+
+def event_type_marks() -> list[Column]:
+    """Aggregates: whether each valid event type occurs."""
+    return [F.max(F.col("event_type") == t).alias(f"_has_{t}") for t in VALID_EVENT_TYPES]
+
+
+def event_type_set() -> Column:
+    """The sorted types marked by ``event_type_marks``."""
+    return F.array_compact(F.array(*[F.when(F.col(f"_has_{t}"), F.lit(t)) for t in sorted(VALID_EVENT_TYPES)]))

@@ -103,11 +103,10 @@ def rules_frame(spark: SparkSession, rules=None) -> DataFrame:
 def threshold_alarm(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """M2: per rule and period: statistic, breached, in_alarm.
 
-    The rule table is tiny and fixed (one row per alarm), so it is
-    broadcast; metrics are bucketed per rule period and aggregated with a
+    The join is left to the optimizer, as ``rules`` is the caller's frame; metrics are bucketed per rule period and aggregated with a
     map-side partial step before any window runs.
     """
-    m = metrics.join(F.broadcast(rules), "metric")
+    m = metrics.join(rules, "metric")
     idx = F.floor(F.unix_micros(F.col("ts")) / (F.col("period_seconds") * F.lit(1_000_000)))
     per = (m.groupBy("alarm_name", "statistic", "period_seconds", "threshold", "comparison",
                      "evaluation_periods", idx.alias("period_idx"))

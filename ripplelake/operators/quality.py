@@ -255,7 +255,7 @@ _SUMMARY_SCHEMA = T.StructType([
 
 def _error_row(spark: SparkSession, suite: str, run_date, exc: Exception) -> DataFrame:
     return spark.createDataFrame([(suite, None if run_date is None else str(run_date), False, 0, 0, "",
-                                   0.0, f"{type(exc).__name__}: {str(exc)[:500]}")], _SUMMARY_SCHEMA)
+                                   0.0, f"{type(exc).__name__}: {exc}")], _SUMMARY_SCHEMA)
 
 
 # ---------------------------------------------------------------------------
@@ -277,15 +277,26 @@ def dq_gate(report: DataFrame, pct: float = DQ_NULL_EVENT_ID_PCT) -> DataFrame:
     """Fail closed.  Raises ``DataQualityError`` if any report row
     breaches the gate or the report is missing/empty; returns the report.
 
-    Only the breaching report rows (one per run day) reach the driver.
+    One row of totals reaches the driver; ``dq_gate_issues`` is the full list.
     """
     if report is None:
         raise DataQualityError("DQ report missing")
-    bad = dq_gate_issues(report, pct).limit(100).collect()
-    if bad:
-        text = "; ".join(f"{r['run_date']}: {r['issues']}" for r in bad)
-        raise DataQualityError(f"DQ check failed: {text}")
-    if report.limit(1).count() == 0:
+    nulls, dups = F.col("null_event_id_pct") > pct, F.col("duplicate_event_ids") > 0
+    empty = F.col("status") == "NO_DATA"
+    bad = nulls | dups | empty
+    r = report.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad"),
+        F.min(F.when(bad, F.col("run_date"))).alias("first"), F.max(F.when(bad, F.col("run_date"))).alias("last"),
+        F.count_if(nulls).alias("nulls"), F.max(F.when(nulls, F.col("null_event_id_pct"))).alias("worst"),
+        F.count_if(dups).alias("dups"), F.sum(F.when(dups, F.col("duplicate_event_ids"))).alias("ids"),
+        F.count_if(empty).alias("empty")).first()
+    if r["bad"]:
+        reasons = [text for n, text in ((r["nulls"], f"null_event_id_pct on {r['nulls']} day(s), worst={r['worst']}"),
+                                        (r["dups"], f"duplicate_ids={r['ids']} on {r['dups']} day(s)"),
+                                        (r["empty"], f"NO_DATA on {r['empty']} day(s)")) if n]
+        raise DataQualityError(f"DQ check failed on {r['bad']} day(s), {r['first']} to {r['last']}: "
+                               + "; ".join(reasons))
+    if not r["rows"]:
         raise DataQualityError("DQ report is empty")
     return report
 

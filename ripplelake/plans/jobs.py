@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, quality, silver
+from ..session import ensure_utc
 from ..sources import catalog, readers, sinks
 
 
@@ -48,17 +50,24 @@ def run_concurrently(tasks: list[Callable[[], object]]) -> list[object]:
         return [f.result() for f in futures]
 
 
-def run_medallion(spark: SparkSession, raw: DataFrame, base: str, run_date=None) -> DataFrame:
+def run_medallion(spark: SparkSession, raw: DataFrame, base: str, run_date=None,
+                  bronze: DataFrame | None = None) -> DataFrame:
     """Raw events -> Silver + dead letter + stats -> daily Gold tables.
 
     ``raw`` is any raw-event frame (Bronze read with ``read_bronze`` or a
-    typed frame).  With ``run_date`` (``raw`` is that day's Bronze) every
-    output, the dead letter included, replaces its partitions, so a rerun is
-    idempotent.  Returns one row per written table with its row count, plus
-    the transform stats row, all read back from storage.
+    typed frame).  With ``run_date`` (``raw`` is what arrived that day) the
+    event days that ``raw`` touches are rebuilt from ``bronze``, all that has
+    arrived, so late rows join their day and lose none of it; Gold is rebuilt
+    for exactly those days, also where nothing is left.  A rerun replaces the
+    same partitions, the dead letter included.  Without ``bronze``, ``raw`` must
+    hold all rows of the days it touches.  Returns one row per written table
+    with its row count (of those days), plus the transform stats rows.
     """
+    ensure_utc(spark)
     p = lake(base)
     tagged = silver.tag_records(raw)
+    if run_date is not None:
+        return _rebuild_days(spark, tagged, tagged if bronze is None else silver.tag_records(bronze), p, run_date)
     # Stats ride along the Silver write (Observation): no cache of the raw
     # input and no extra pass; the dead letter is a second, filtered scan
     # that runs next to the Silver write.
@@ -90,6 +99,36 @@ def run_medallion(spark: SparkSession, raw: DataFrame, base: str, run_date=None)
     return out.unionByName(stat_rows)
 
 
+def _rebuild_days(spark: SparkSession, arrived: DataFrame, bronze: DataFrame, p: dict[str, str],
+                  run_date) -> DataFrame:
+    """Rebuild the event days of ``arrived`` from all of Bronze (both tagged)."""
+    day = F.to_date(F.col(silver.EVENT_TS))
+    stats = arrived.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col(silver.REASON).isNull()).alias("valid"),
+                        F.collect_set(F.when(F.col(silver.REASON).isNull(), day)).alias("days")).first()
+    days = sorted({gold.as_date(run_date), *stats["days"]})  # event days of one run
+    run_concurrently([
+        lambda: sinks.write_silver(silver.to_silver(bronze.filter(day.isin(days))), p["silver"]),
+        lambda: sinks.write_rejected(silver.rejected_records(arrived), p["rejected"], run_date),
+    ])
+    tables = [("revenue", gold.revenue_metrics, "gold_revenue_metrics"), ("products", gold.top_products, "gold_top_products"),
+              ("segments", gold.user_segments, "gold_user_segments")]
+    counts = []
+    for d in days:
+        silver_t = readers.load_silver(spark, p["silver"], d)
+        run_concurrently([lambda k=k, build=build: sinks.write_gold(build(silver_t), p[k], run_date=d)
+                          for k, build, _ in tables])
+        counts.append(silver_t.select(F.lit("silver_events").alias("table")))
+        counts += [spark.read.parquet(p[k]).filter(
+            (F.col("report_year") == d.year) & (F.col("report_month") == d.month) & (F.col("report_day") == d.day))
+            .select(F.lit(name).alias("table")) for k, _, name in tables]
+    rows = reduce(DataFrame.union, counts).groupBy("table").agg(F.count(F.lit(1)).alias("row_count"))
+    names = spark.createDataFrame([("silver_events",), *[(name,) for _, _, name in tables]], "table string")
+    out = names.join(rows, "table", "left").select("table", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+    return out.unionByName(spark.createDataFrame(
+        [("read", stats["read"]), ("valid", stats["valid"]), ("rejected", stats["read"] - stats["valid"])],
+        "table string, row_count long"))
+
+
 def run_daily(spark: SparkSession, base: str, run_date=None, gate: bool = True,
               refresh_table: str | None = None) -> DataFrame:
     """Cohort-variant Gold (D2, D4, D6) and the DQ report (E0) for one
@@ -100,17 +139,17 @@ def run_daily(spark: SparkSession, base: str, run_date=None, gate: bool = True,
     written report and fails closed; then partitions are refreshed (A9).
     Returns the DQ report read back from storage.
     """
+    ensure_utc(spark)
     p = lake(base)
     # No cache: each plan re-reads only its columns of the pruned partition,
     # which at production size is cheaper than holding a day in executors.
     day = readers.load_silver(spark, p["silver"], run_date)
-    # An empty day writes its NO_DATA report; its empty Gold frames replace
-    # no partitions (dynamic overwrite), so no emptiness probe is needed.
+    # An empty day writes its NO_DATA report and clears its Gold partitions.
     run_concurrently([
         lambda: sinks.write_dq_report(quality.dq_report(day, run_date), p["dq"]),
-        lambda: sinks.write_gold(gold.daily_revenue(day, run_date), p["daily_revenue"]),
-        lambda: sinks.write_gold(gold.top_products_cohort(day, run_date), p["daily_products"]),
-        lambda: sinks.write_gold(gold.user_cohorts(day, run_date), p["daily_users"]),
+        lambda: sinks.write_gold(gold.daily_revenue(day, run_date), p["daily_revenue"], run_date=run_date),
+        lambda: sinks.write_gold(gold.top_products_cohort(day, run_date), p["daily_products"], run_date=run_date),
+        lambda: sinks.write_gold(gold.user_cohorts(day, run_date), p["daily_users"], run_date=run_date),
     ])
     written = spark.read.parquet(p["dq"])
     if run_date is not None:

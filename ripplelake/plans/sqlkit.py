@@ -15,12 +15,12 @@ _TABLE = re.compile(r"@([a-z_][a-z0-9_]*)")
 
 def R(expr: str, digits: int) -> str:
     """Round a numeric expression half up at ``digits``; double result."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
 
 def MSUM(expr: str) -> str:
     """Exact money sum, as double."""
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(20,6))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(26,6))) AS DOUBLE)"
 
 
 def ISUM(expr: str) -> str:

@@ -3,13 +3,15 @@ shared scratch locations.
 
 Scratch data (stream checkpoints, landed files, lineage cuts) always lives
 under the folder the cluster names in ``spark.checkpoint.dir``.  Only when that
-setting is absent (unit tests, a laptop) do we pick a temporary folder and
-register it, so executors on a real cluster never write to machine-local disk.
+setting is absent and the master is ``local[...]`` (unit tests, a laptop) do we
+pick a temporary folder and register it; on a cluster its absence is an error,
+so executors never write to machine-local disk.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -73,6 +75,9 @@ def shared_dir(spark: SparkSession) -> str:
         found = ctx._jsc.sc().getCheckpointDir()
         base = found.get() if found.isDefined() else None
     if not base:
+        master = (ctx.master if ctx is not None else spark.conf.get("spark.master", "")) or ""
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ripplelake-")
         if ctx is not None:
             ctx.setCheckpointDir(base)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.gold import as_date
 from ..operators.silver import enforce_schema
 from ..schemas import GOLD_PARTITIONS, SILVER_PARTITIONS, SILVER_SCHEMA, TRIGGER_INTERVAL
 
@@ -61,10 +62,18 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: s
        .partitionBy(*partition_by).parquet(path))
 
 
-def write_gold(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4/K8: a Gold table by report year/month/day.  Empty input writes
-    nothing (and so replaces nothing)."""
-    write_partitioned(df, path, GOLD_PARTITIONS, mode)
+def write_gold(df: DataFrame, path: str, mode: str = "overwrite", run_date=None) -> None:
+    """K4/K8: a Gold table by report year/month/day.
+
+    With ``run_date`` (``df`` is that day's rows) the day's partition is
+    replaced even by an empty frame, so a rerun leaves nothing stale.
+    """
+    if run_date is None:
+        write_partitioned(df, path, GOLD_PARTITIONS, mode)
+        return
+    d = as_date(run_date)
+    day = "/".join(f"{c}={v}" for c, v in zip(GOLD_PARTITIONS, (d.year, d.month, d.day)))
+    df.drop(*GOLD_PARTITIONS).write.mode(mode).option("partitionOverwriteMode", "static").parquet(f"{path}/{day}")
 
 
 def write_dq_report(report: DataFrame, path: str) -> None:

@@ -23,6 +23,7 @@ Semantics:
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +33,14 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.bronze import bronze_envelope
 from ..operators.silver import REASON, parse_events, rejected_records, tag_records, to_silver
 from ..schemas import BRONZE_SCHEMA, SILVER_SCHEMA, WATERMARK_DELAY
+from ..session import ensure_utc
 from ..sources.readers import read_event_stream
 from ..sources.sinks import write_bronze_stream, write_gold_stream, write_silver_stream
 from . import metrics
 
 STATS_METRIC = "transform_stats"
+#: Files a trigger takes, so that the first one after an outage is bounded.
+MAX_FILES = 1000
 
 
 def _payload(records: DataFrame) -> DataFrame:
@@ -82,15 +86,25 @@ class StreamingPipeline:
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
 
     def await_all(self, timeout: float | None = None) -> None:
-        for q in self.queries.values():
-            q.awaitTermination(timeout) if timeout else q.awaitTermination()
+        """Wait for all queries; a query that fails stops the others and raises."""
+        until = None if timeout is None else time.monotonic() + timeout
+        while True:
+            failed = next((q for q in self.queries.values() if q.exception() is not None), None)
+            if failed is not None:
+                self.stop()
+                raise failed.exception()
+            running = [q for q in self.queries.values() if q.isActive]
+            if not running or (until is not None and time.monotonic() >= until):
+                return
+            running[0].awaitTermination(1)
 
     def process_all_available(self) -> None:
         for q in self.queries.values():
             q.processAllAvailable()
 
     def stop(self) -> None:
-        """Graceful stop: each query finishes its current trigger."""
+        """Stop the queries.  A batch under way is given up and run again from
+        its checkpoint at the next start; sinks commit whole batches only."""
         for q in self.queries.values():
             if q.isActive:
                 q.stop()
@@ -125,7 +139,8 @@ def _with_upstream(names) -> set[str]:
 
 def run_streaming_pipeline(spark: SparkSession, source: str, base: str, checkpoints: str,
                            fmt: str = "text", options: dict | None = None,
-                           available_now: bool = False, max_files_per_trigger: int | None = None,
+                           available_now: bool = False, max_files_per_trigger: int | None = MAX_FILES,
+                           max_records_per_trigger: int | None = None,
                            trigger: str | None = None, only: list[str] | None = None) -> StreamingPipeline:
     """Start the chained queries (products too) and return them.
 
@@ -133,6 +148,7 @@ def run_streaming_pipeline(spark: SparkSession, source: str, base: str, checkpoi
     ``available_now`` the stages run one after another (each drains what its
     upstream committed); otherwise all queries run concurrently.
     """
+    ensure_utc(spark)
     paths = lake_paths(base, checkpoints)
     kw = {"available_now": available_now, "trigger": trigger}
     wanted = _with_upstream(only or UPSTREAM)
@@ -146,7 +162,7 @@ def run_streaming_pipeline(spark: SparkSession, source: str, base: str, checkpoi
 
     builders = {
         "bronze": lambda: write_bronze_stream(
-            bronze_envelope(read_event_stream(spark, source, fmt, options, max_files_per_trigger)),
+            bronze_envelope(read_event_stream(spark, source, fmt, options, max_files_per_trigger, max_records_per_trigger)),
             *paths["bronze"], name="bronze", **kw),
         "silver": lambda: write_silver_stream(silver_stream(bronze_table(), watermark=None),
                                               *paths["silver"], name="silver", **kw),
