@@ -52,7 +52,8 @@ RANGES = {
 }
 KNOTS = 6
 WIDTH = 1 + KNOTS * len(RANGES)
-RIDGE = 1e-3
+#: Ridge penalty times the number of trusted positives.
+RIDGE = 2.5
 PRIOR_STEPS, RISK_STEPS, BINS = 5, 10, 200
 PRIOR_LIMITS = (0.01, 0.99)
 
@@ -163,8 +164,9 @@ def estimate_prior(numbers: DataFrame, positives: DataFrame) -> float:
     w = np.zeros(WIDTH)
     for _ in range(PRIOR_STEPS):
         u, p = _pass(numbers, w), _pass(positives, w)
-        slope = u["gradient"] / u["n"] + (p["gradient"] - p["inputs"]) / p["n"] + RIDGE * w
-        w = w - np.linalg.solve(u["curve"] / u["n"] + p["curve"] / p["n"] + RIDGE * np.eye(WIDTH), slope)
+        ridge = RIDGE / p["n"]
+        slope = u["gradient"] / u["n"] + (p["gradient"] - p["inputs"]) / p["n"] + ridge * w
+        w = w - np.linalg.solve(u["curve"] / u["n"] + p["curve"] / p["n"] + ridge * np.eye(WIDTH), slope)
     u, p = _pass(numbers, w), _pass(positives.filter("half = 1"), w)
     if not p["n"]:
         p = _pass(positives, w)
@@ -179,11 +181,11 @@ def minimise_risk(numbers: DataFrame, positives: DataFrame, prior: float) -> np.
     """Weights of the smallest non-negative unbiased risk found."""
     def at(w: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
         u, p = _pass(numbers, w), _pass(positives, w)
-        mean = p["inputs"] / p["n"]
+        mean, ridge = p["inputs"] / p["n"], RIDGE / p["n"]
         negative = u["plus"] / u["n"] - prior * p["plus"] / p["n"]
-        risk = u["plus"] / u["n"] - prior * (mean @ w) + RIDGE / 2 * (w @ w)
-        slope = u["gradient"] / u["n"] - prior * mean + RIDGE * w
-        return risk, negative, slope, u["curve"] / u["n"] + RIDGE * np.eye(WIDTH)
+        risk = u["plus"] / u["n"] - prior * (mean @ w) + ridge / 2 * (w @ w)
+        slope = u["gradient"] / u["n"] - prior * mean + ridge * w
+        return risk, negative, slope, u["curve"] / u["n"] + ridge * np.eye(WIDTH)
 
     w = np.zeros(WIDTH)
     risk, _, slope, curve = at(w)

@@ -163,6 +163,9 @@ def fit(stats: DataFrame) -> DataFrame:
     by_lang = by_lang.select(F.col("lang").alias("_l"), "n_lang")
     groups = cut(sizes.join(by_lang, F.col("lang").eqNullSafe(F.col("_l")), "left")
                  .select("lang", "source", name.alias("group")), "mcd-groups")
+    columns = [f"m{i}" for i in range(len(Z))] + [f"w{i}{j}" for i in range(len(Z)) for j in range(i + 1)]
+    if groups.filter("group is not null").isEmpty():
+        return groups.select("lang", "source", *[F.lit(None).cast("double").alias(f"{c}_best") for c in columns])
     salt = F.xxhash64(*Z)
     rows = cut(join_groups(sound, groups.filter("group is not null"), ["lang", "source"], salt)
                .select("group", *Z), "mcd-rows")
@@ -183,7 +186,6 @@ def fit(stats: DataFrame) -> DataFrame:
         found = _concentrate(join_groups(rows, found, ["group"], salt), {s: _squares(s) for s in STARTS})
 
     least = F.least(*[f"det_{s}" for s in STARTS])
-    columns = [f"m{i}" for i in range(len(Z))] + [f"w{i}{j}" for i in range(len(Z)) for j in range(i + 1)]
     best = found.select("group", *[F.coalesce(*[F.when(F.col(f"det_{s}") == least, F.col(f"{c}_{s}"))
                                                 for s in STARTS]).alias(f"{c}_best") for c in columns])
     return cut(groups.join(best.withColumnRenamed("group", "_g"), F.col("group") == F.col("_g"), "left")
