@@ -18,6 +18,7 @@ other; equal rows take their ranks in any order.  An empty table gives no piece.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left, insort
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,13 +45,54 @@ class Encoder:
     """Token ids of texts as little-endian bytes.
 
     The tokenizer drops white space and its pieces never span any, so words are
-    encoded one by one, each distinct one once while it is remembered.
+    encoded one by one, each distinct one once while it is remembered.  A new
+    word below U+0130, where lower-casing goes letter by letter and nothing
+    composes, is split into the tokenizer's own pieces, as most new words
+    differ from known ones in case and punctuation only; other words, those that may hold
+    a special token, and all words of a tokenizer of another build are
+    encoded whole.
     """
 
     def __init__(self, model: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_str(model), {}
+        self.tokenizer, self.known, self.pieces = Tokenizer.from_str(model), {}, {}
+        content = json.loads(model)
+        self.split = _piece_pattern(content)
+        # Of a piece's ids just the last ends a word.
+        suffix = content["model"].get("end_of_word_suffix") or ""
+        vocabulary = content["model"].get("vocab", {}) if self.split is not None else {}
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[i for x, i in vocabulary.items() if suffix and x.endswith(suffix)]] = True
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, encoded as one text and cut at the ends of words."""
+        if not pieces:
+            return []
+        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(pieces):
+            return self._encode(pieces)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, pieces, parts, whole = self.known, self.pieces, {}, []
+        for w in words:
+            s = w.decode()
+            if self.split is not None and (s.isascii() or max(s) < "\u0130") and "<|" not in s:
+                parts[w] = self.split.findall(s.lower())
+            else:
+                whole.append(w)
+        new = list({x for found in parts.values() for x in found if x not in pieces})
+        pieces.update(zip(new, self._encode_pieces(new)))
+        for w, found in parts.items():
+            known[w] = pieces[found[0]] if len(found) == 1 else b"".join([pieces[x] for x in found])
+        known.update(zip(whole, self._encode([w.decode() for w in whole])))
 
     def __call__(self, texts: list[bytes | None]) -> Iterator[bytes]:
         end = np.array([END], dtype="<u4").tobytes()
@@ -57,11 +100,23 @@ class Encoder:
             split = [(t or b"").split() for t in texts[k:k + 64]]
             if len(self.known) > WORD_CACHE:
                 self.known.clear()
-            new = list({w for words in split for w in words if w not in self.known})
-            for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
+            if len(self.pieces) > WORD_CACHE:
+                self.pieces.clear()
+            known = self.known
+            self._learn(list({w for words in split for w in words if w not in known}))
             for words in split:
-                yield b"".join([self.known[w] for w in words]) + end
+                yield b"".join([known[w] for w in words]) + end
+
+
+def _piece_pattern(model: dict) -> regex.Pattern | None:
+    """The tokenizer's own split pattern, if it lower-cases, drops what lies
+    between the pattern's matches and encodes each match alone."""
+    steps = [x.get("type") for x in (model.get("normalizer") or {}).get("normalizers", [])]
+    first = ((model.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    if steps != ["NFC", "Replace", "Lowercase"] or (first.get("type"), first.get("behavior"), first.get("invert")) != (
+            "Split", "Removed", True):
+        return None
+    return regex.compile(first["pattern"]["Regex"])
 
 
 def tokenizer_model(path: str | None = None) -> str:

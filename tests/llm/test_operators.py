@@ -288,6 +288,18 @@ def test_packing(docs, rows, empty):
     assert packing.pack(empty, model).count() == 0
 
 
+def test_encoder_equals_the_tokenizer():
+    from tokenizers import Tokenizer
+    model = packing.tokenizer_model()
+    r = random.Random(9)
+    letters = "abzABZ019'sStTdD.,!?-_<>|*\u00e9\u00c9\u00df\u00d1\u00a0\u0085\u00b2\u00bd\u0130\u0301\u03a3\u4e2d\U0001f600"
+    texts = ["".join(r.choices(letters + "  \n\t", k=r.randint(0, 40))) for _ in range(4000)]
+    texts += ["<|endoftext|> a<|startoftext|>b", "''s don't WE'LL I'M x'RE '", "e\u0301 E\u0301"]
+    whole = Tokenizer.from_str(model).encode_batch(texts, add_special_tokens=False)
+    got = packing.Encoder(model)([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [e.ids + [1] for e in whole]
+
+
 def test_plan_is_best_fit_decreasing():
     r = random.Random(2)
     lengths = [r.randint(1, 100) for _ in range(3000)] + [100] * 50 + [1] * 200
