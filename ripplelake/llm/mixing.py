@@ -165,11 +165,13 @@ def taken_words(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target and taken (words, repeats counted) of every row."""
     sizes, slots, spans = plan(docs, seed)
     uses = slots.groupBy("source_no", "block").agg(F.count("*").alias("uses"))
-    taken = (spans.join(uses, ["source_no", "block"])
+    # The slots' size is estimated from the small table they are made of; the hint
+    # keeps them from being broadcast.
+    taken = (spans.join(uses.hint("merge"), ["source_no", "block"])
              .groupBy("source_no", "start").agg(F.sum((F.col("high") - F.col("low")) * F.col("uses")).alias("taken"))
              .withColumnsRenamed({"source_no": "_no", "start": "_start"}))
     at = (F.col("source_no") == F.col("_no")) & (F.col("start") == F.col("_start")) & (F.col("size") > 0)
-    return sizes.join(taken, at, "left").select(
+    return sizes.join(taken.hint("merge"), at, "left").select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -198,7 +200,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix as documents: a row for each document and epoch with the words
     taken, all other columns as they were (``n_chars`` counted again)."""
     sizes, slots, spans = plan(docs, seed)
-    taken = (spans.join(slots.select("source_no", "block", "epoch"), ["source_no", "block"])
+    taken = (spans.join(slots.select("source_no", "block", "epoch").hint("merge"), ["source_no", "block"])
              .groupBy("source_no", "start")
              .agg(F.flatten(F.collect_list(F.array(F.col("epoch").cast("long"), "low", "high"))).alias("spans")))
     copy = Window.partitionBy("doc_id", "text_hash", "source").orderBy("start")
