@@ -173,8 +173,9 @@ def estimate_prior(numbers: DataFrame, positives: DataFrame) -> float:
     above_u, above_p = np.cumsum(u["bins"][::-1]) / u["n"], np.cumsum(p["bins"][::-1]) / p["n"]
     slack = np.sqrt(np.log(40) / (2 * u["n"])) + np.sqrt(np.log(40) / (2 * p["n"]))
     some = above_p > 0
-    ratio, bound = above_u[some] / above_p[some], (above_u[some] + 1.01 * slack) / above_p[some]
-    return float(np.clip(ratio[np.argmin(bound)], *PRIOR_LIMITS))
+    # The bound rather than the bare ratio: with few positives the ratio falls short and clean documents would go.
+    bound = (above_u[some] + 1.01 * slack) / above_p[some]
+    return float(np.clip(bound.min(), *PRIOR_LIMITS))
 
 
 def minimise_risk(numbers: DataFrame, positives: DataFrame, prior: float) -> np.ndarray:
