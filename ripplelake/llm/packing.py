@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,30 +38,38 @@ ship(__name__)
 CAPACITY, END = 4096, 1
 #: Plan rows (40 bytes each) that are broadcast.
 BROADCAST_PLAN = 1_000_000
-WORD_CACHE = 300_000
+#: Pieces that a task remembers, and bytes of text that it encodes at once (a longer text at once, whole).
+CACHE, SLICE = 600_000, 8 << 20
+#: Words that are encoded whole: letters from U+0130, white space beyond ASCII's, special tokens.
+WHOLE = r"[^\x00-\x{12F}]|[\x{85}\x{A0}]|<\|"
 
 
 class Encoder:
     """Token ids of texts as little-endian bytes.
 
-    The tokenizer drops white space and its pieces never span any, so words are
-    encoded one by one, each distinct one once while it is remembered.  A new
-    word below U+0130, where lower-casing goes letter by letter and nothing
-    composes, is split into the tokenizer's own pieces, as most new words
-    differ from known ones in case and punctuation only; other words, those that may hold
-    a special token, and all words of a tokenizer of another build are
-    encoded whole.
+    The tokenizer drops white space and its pieces never span any, so a slice
+    of texts is split into words by Arrow and each distinct word is encoded
+    once.  Words below U+0130, where lower-casing goes letter by letter and
+    nothing composes, are lower-cased and split into the tokenizer's own
+    pieces by Arrow too; each distinct piece is encoded once while it is
+    remembered.  Other words, those that may hold a special token, and all
+    words of a tokenizer of another build are encoded whole.
     """
 
     def __init__(self, model: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.known, self.pieces = Tokenizer.from_str(model), {}, {}
+        self.tokenizer, self.known = Tokenizer.from_str(model), {}
         content = json.loads(model)
         self.split = _piece_pattern(content)
+        if self.split is None:
+            return
+        # Pieces are lower-case and apart already: what is left to do is to cut at blanks.
+        steps = [{"type": "WhitespaceSplit"}, *content["pre_tokenizer"]["pretokenizers"][1:]]
+        self.plain = Tokenizer.from_str(json.dumps(
+            content | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}}))
         # Of a piece's ids just the last ends a word.
-        suffix = content["model"].get("end_of_word_suffix") or ""
-        vocabulary = content["model"].get("vocab", {}) if self.split is not None else {}
+        suffix, vocabulary = content["model"].get("end_of_word_suffix") or "", content["model"]["vocab"]
         self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.last[[i for x, i in vocabulary.items() if suffix and x.endswith(suffix)]] = True
 
@@ -73,42 +81,66 @@ class Encoder:
         """Ids of pieces, encoded as one text and cut at the ends of words."""
         if not pieces:
             return []
-        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.plain.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(pieces):
             return self._encode(pieces)
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *(4 * ends[:-1]).tolist()], (4 * ends).tolist())]
 
-    def _learn(self, words: list[bytes]) -> None:
-        known, pieces, parts, whole = self.known, self.pieces, {}, []
-        for w in words:
-            s = w.decode()
-            if self.split is not None and (s.isascii() or max(s) < "\u0130") and "<|" not in s:
-                parts[w] = self.split.findall(s.lower())
-            else:
-                whole.append(w)
-        new = list({x for found in parts.values() for x in found if x not in pieces})
-        pieces.update(zip(new, self._encode_pieces(new)))
-        for w, found in parts.items():
-            known[w] = pieces[found[0]] if len(found) == 1 else b"".join([pieces[x] for x in found])
-        known.update(zip(whole, self._encode([w.decode() for w in whole])))
-
-    def __call__(self, texts: list[bytes | None]) -> Iterator[bytes]:
+    def _by_pieces(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words, from the ids of their distinct pieces."""
+        lower = pc.utf8_lower(words)
+        mixed = pc.invert(pc.utf8_is_alpha(lower))
+        apart = pc.replace_with_mask(lower, mixed, pc.replace_substring_regex(lower.filter(mixed), self.split, r"\0 "))
+        split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(apart))
+        flat = split.flatten().dictionary_encode()
+        if len(self.known) > CACHE:
+            self.known.clear()
+        known, pieces = self.known, flat.dictionary.to_pylist()
+        known[""] = b""
+        new = [x for x in pieces if x not in known]
+        known.update(zip(new, self._encode_pieces(new)))
+        ids = pa.array([known[x] for x in pieces], pa.large_binary()).take(flat.indices)
+        return _joined(ids, split.offsets)
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        if self.split is None:
+            return pa.array(self._encode(words.to_pylist()), pa.large_binary())
+        whole = pc.match_substring_regex(words, WHOLE)
+        odd = words.filter(whole)
+        ids = self._by_pieces(words.filter(pc.invert(whole)))
+        if not len(odd):
+            return ids
+        ids = pa.concat_arrays([ids, pa.array(self._encode(odd.to_pylist()), pa.large_binary())])
+        # Back to the words' own order.
+        return ids.take(pa.array(np.argsort(np.argsort(whole.to_numpy(zero_copy_only=False), kind="stable"))))
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
         end = np.array([END], dtype="<u4").tobytes()
-        for k in range(0, len(texts), 64):
-            split = [(t or b"").split() for t in texts[k:k + 64]]
-            if len(self.known) > WORD_CACHE:
-                self.known.clear()
-            if len(self.pieces) > WORD_CACHE:
-                self.pieces.clear()
-            known = self.known
-            self._learn(list({w for words in split for w in words if w not in known}))
-            for words in split:
-                yield b"".join([known[w] for w in words]) + end
-
-
-def _piece_pattern(model: dict) -> regex.Pattern | None:
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy()) if len(texts) else np.zeros(0, dtype=np.int64)
+        start = 0
+        while start < len(texts):
+            done = size[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(size, done + SLICE, side="right")))
+            split = pc.ascii_split_whitespace(texts.slice(start, stop - start))
+            flat = split.flatten().dictionary_encode()
+            for ids in _joined(self._of_words(flat.dictionary).take(flat.indices), split.offsets):
+                yield ids.as_py() + end
+            start = stop
+
+
+def _joined(parts: pa.Array, offsets: pa.Array) -> pa.Array:
+    """Consecutive binary values joined: value k holds the parts from offsets[k] to offsets[k + 1]."""
+    if not len(parts):
+        return pa.array([b""] * (len(offsets) - 1), pa.large_binary())
+    at = np.frombuffer(parts.buffers()[1], dtype=np.int64)[parts.offset:parts.offset + len(parts) + 1]
+    at = np.ascontiguousarray(at[offsets.to_numpy() - offsets[0].as_py()])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), parts.buffers()[2]])
+
+
+def _piece_pattern(model: dict) -> str | None:
     """The tokenizer's own split pattern, if it lower-cases, drops what lies
     between the pattern's matches and encodes each match alone."""
     steps = [x.get("type") for x in (model.get("normalizer") or {}).get("normalizers", [])]
@@ -116,7 +148,7 @@ def _piece_pattern(model: dict) -> regex.Pattern | None:
     if steps != ["NFC", "Replace", "Lowercase"] or (first.get("type"), first.get("behavior"), first.get("invert")) != (
             "Split", "Removed", True):
         return None
-    return regex.compile(first["pattern"]["Regex"])
+    return first["pattern"]["Regex"]
 
 
 def tokenizer_model(path: str | None = None) -> str:
@@ -138,7 +170,7 @@ def pieces(docs: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
         encode = Encoder(shared.value)
         for b in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, x in enumerate(encode(b.column("text").cast(pa.binary()).to_pylist())):
+            for i, x in enumerate(encode(b.column("text"))):
                 for k, a in enumerate(range(0, len(x), width)):
                     part = x[a:a + width]
                     row.append(i)

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -292,12 +293,14 @@ def test_encoder_equals_the_tokenizer():
     from tokenizers import Tokenizer
     model = packing.tokenizer_model()
     r = random.Random(9)
-    letters = "abzABZ019'sStTdD.,!?-_<>|*\u00e9\u00c9\u00df\u00d1\u00a0\u0085\u00b2\u00bd\u0130\u0301\u03a3\u4e2d\U0001f600"
+    letters = "abzABZ019'sStTdD.,!?-_<>|*\u00e9\u00c9\u00df\u00d1\u00a0\u0085\u00aa\u00b2\u00bd\u0130\u01c5\x1c\u0301\u03a3\u4e2d\U0001f600"
     texts = ["".join(r.choices(letters + "  \n\t", k=r.randint(0, 40))) for _ in range(4000)]
     texts += ["<|endoftext|> a<|startoftext|>b", "''s don't WE'LL I'M x'RE '", "e\u0301 E\u0301"]
     whole = Tokenizer.from_str(model).encode_batch(texts, add_special_tokens=False)
-    got = packing.Encoder(model)([t.encode() for t in texts])
+    got = packing.Encoder(model)(pa.array(texts))
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [e.ids + [1] for e in whole]
+    assert list(packing.Encoder(model)(pa.array([None, ""]))) == [b"\x01\0\0\0"] * 2
+    assert list(packing.Encoder(model)(pa.array([], pa.string()))) == []
 
 
 def test_plan_is_best_fit_decreasing():
