@@ -199,6 +199,7 @@ LIMIT 1""",
     "x02": """
 SELECT raw_payload
 FROM @bronze_events
+ORDER BY raw_payload
 LIMIT 10""",
 }
 # R4 (hourly heatmap) is the same query as Q7.

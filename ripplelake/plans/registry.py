@@ -1,7 +1,7 @@
 """Registry of named queries: Spark builder + DuckDB oracle text.
 
-Every builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole input; the oracle (when the operator is SQL-expressible) is the same
+Every builder takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+input (the keys of jobs and streams run these when built); the oracle (when the operator is SQL-expressible) is the same
 computation written independently for DuckDB over the driver's views.
 Columns that are wall-clock stamps (created_at, processed_at, updated_at)
 are left out of compared outputs; timestamps are returned as
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..operators import gold, monitoring, quality, silver
 from ..schemas import RAW_COLUMNS
 from ..streaming import metrics
-from . import analytics
+from . import analytics, oracle_analytics
 from . import oracle_more as om
 from .oracle import with_ctes
 from .sqlkit import DIV, R, tables_in
@@ -120,8 +120,9 @@ def _sql_query(sql: str) -> Builder:
 
 
 for _q, _sql in analytics.QUERIES.items():
-    # X2 samples 10 arbitrary raw payloads: a sampling query, rows-only.
-    register(_q, None if _q == "x02" else with_ctes(_sql), analytics.DESCRIPTIONS[_q])(_sql_query(_sql))
+    # X2 shows raw JSON payloads, which DuckDB would print in another form: rows-only.
+    register(_q, None if _q == "x02" else with_ctes(oracle_analytics.ORACLES[_q]),
+             analytics.DESCRIPTIONS[_q])(_sql_query(_sql))
 
 
 # ---------------------------------------------------------------------------
@@ -228,7 +229,7 @@ def _stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("stream_bronze", with_ctes("SELECT * FROM @raw_events"),
          "streaming Bronze: every payload parses back to the event sent")(_stream_bronze)
 register("stream_silver", with_ctes("SELECT * FROM @silver_events"), "streaming Silver")(
-    lambda spark, d: comparable(spark.read.parquet(f"{run_stream_once(spark, d, 'silver')}/silver/cleaned_events")
+    lambda spark, d: comparable(spark.read.parquet(f"{run_stream_once(spark, d, 'silver')}/silver/stream_events")
                                 .select(*[c for c in silver.SILVER_SCHEMA.fieldNames()])))
 
 
@@ -236,7 +237,7 @@ def _stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_stream_once(spark, sf_dir, "rejected")
     schema = T.StructType(silver.EVENT_SCHEMA.fields + [T.StructField("raw_payload", T.StringType()),
                                                         T.StructField("_rejection_reason", T.StringType())])
-    return spark.read.schema(schema).json(f"{base}/silver/rejected").select(*RAW_COLUMNS, "_rejection_reason")
+    return spark.read.schema(schema).json(f"{base}/silver/stream_rejected").select(*RAW_COLUMNS, "_rejection_reason")
 
 
 register("stream_rejected", with_ctes(f"SELECT {_RAW_LIST}, _rejection_reason FROM @tagged "

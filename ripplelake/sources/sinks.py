@@ -57,8 +57,9 @@ def write_gold_stream(df: DataFrame, path: str, checkpoint: str, name: str, **kw
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: str = "overwrite") -> None:
     """Partitioned Parquet write; ``overwrite`` replaces only the partitions
-    present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    present in ``df`` (dynamic partition overwrite).  Rows are dealt by
+    partition before, large ones in parts, so a day has few files."""
+    (df.hint("rebalance", *partition_by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 

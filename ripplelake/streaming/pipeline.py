@@ -111,11 +111,13 @@ class StreamingPipeline:
 
 
 def lake_paths(base: str, checkpoints: str) -> dict[str, tuple[str, str]]:
+    """Folder and checkpoint of each query.  None is a folder of the batch jobs:
+    readers of a streamed folder see the files of the stream's log only."""
     b, c = base.rstrip("/"), checkpoints.rstrip("/")
     return {
         "bronze": (f"{b}/bronze/raw_events", f"{c}/bronze"),
-        "silver": (f"{b}/silver/cleaned_events", f"{c}/silver"),
-        "rejected": (f"{b}/silver/rejected", f"{c}/rejected"),
+        "silver": (f"{b}/silver/stream_events", f"{c}/silver"),
+        "rejected": (f"{b}/silver/stream_rejected", f"{c}/rejected"),
         "gold-sales": (f"{b}/gold/sales_metrics", f"{c}/gold_sales"),
         "gold-users": (f"{b}/gold/user_metrics", f"{c}/gold_users"),
         "gold-products": (f"{b}/gold/product_metrics", f"{c}/gold_products"),

@@ -92,3 +92,15 @@ def test_flags_and_helpers(spark, sample):
     assert ranked[0]["rank"] == 1 and ranked[0]["product_id"] == "P001"
     pos = gold.position(tp, [F.desc("revenue")]).orderBy("position").collect()
     assert [r["position"] for r in pos] == [1, 2]
+
+
+def test_many_views_low_conversion(spark):
+    from ripplelake.plans import analytics
+
+    rows = [("few", 10, 0.0), ("enough", 11, 0.09), ("converts", 90, 0.1), ("most", 12, 0.0), ("tie", 11, 0.05)]
+    products = spark.createDataFrame(
+        [(n, n, "2026-03-18", views, 1, rate, 5.0) for n, views, rate in rows],
+        "product_id string, product_name string, report_date string, product_views long, purchase_count long, "
+        "conversion_rate double, revenue double")
+    got = analytics.run_query(spark, "q03", {"gold_top_products": products}).collect()
+    assert [(r["product_name"], r["conversion_pct"]) for r in got] == [("most", 0.0), ("enough", 9.0), ("tie", 5.0)]

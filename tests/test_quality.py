@@ -67,3 +67,26 @@ def test_validate_layers_load_error_is_failure(spark, silver):
     assert all(r["overall_passed"] is False for r in out)
     with pytest.raises(ValueError):
         quality.validate_layers(spark, None, layer="bronze")
+
+
+def test_validate_layers_fails_on_empty_days_and_read_errors(spark, silver):
+    from pyspark.sql import functions as F
+
+    empty = quality.validate_layers(spark, None, lambda: silver.limit(0), layer="silver", by="event_date").collect()
+    assert len(empty) == 1 and not empty[0]["passed"] and "row_count" in empty[0]["failed_expectations"]
+    broken = silver.withColumn("country", F.raise_error(F.lit("damaged file")).cast("string"))
+    rows = quality.validate_layers(spark, None, lambda: broken, layer="silver").collect()
+    assert len(rows) == 1 and not rows[0]["overall_passed"] and "damaged file" in rows[0]["error"]
+
+
+def test_validate_layers_loads_by_date(spark, silver):
+    from ripplelake.session import scratch_path
+    from ripplelake.sources import sinks
+    from ripplelake.streaming import metrics
+
+    base = scratch_path(spark, "layers")
+    sinks.write_silver(silver, f"{base}/silver/cleaned_events")
+    metrics.sales_metrics(silver, exact_distinct=True).write.parquet(f"{base}/gold/sales_metrics")
+    got = {r["suite"]: r for r in quality.validate_layers(spark, "2026-03-18", base=base).collect()}
+    assert got["gold_sales_suite"]["error"] is None and got["gold_sales_suite"]["passed"]
+    assert got["silver_events_suite"]["error"] is None and not got["silver_events_suite"]["passed"]

@@ -81,8 +81,8 @@ def test_full_pipeline_starts_every_query(spark):
     pipe.await_all()
     assert set(pipe.queries) == {"bronze", "silver", "rejected", "gold-sales", "gold-users", "gold-products"}
     assert spark.read.parquet(f"{base}/bronze/raw_events").count() == 1000
-    assert spark.read.parquet(f"{base}/silver/cleaned_events").count() == 916
-    assert spark.read.json(f"{base}/silver/rejected").count() == 84
+    assert spark.read.parquet(f"{base}/silver/stream_events").count() == 916
+    assert spark.read.json(f"{base}/silver/stream_rejected").count() == 84
     for table in ["sales_metrics", "user_metrics", "product_metrics"]:
         assert spark.read.parquet(f"{base}/gold/{table}").count() > 0
     pipe.stop()
@@ -111,9 +111,23 @@ def test_concurrent_pipeline_with_processing_time_triggers(spark):
         for stage in (["bronze"], ["silver", "rejected"], ["gold-sales", "gold-users", "gold-products"]):
             for name in stage:
                 pipe.queries[name].processAllAvailable()
-        assert spark.read.parquet(f"{base}/silver/cleaned_events").count() == 916
-        assert spark.read.json(f"{base}/silver/rejected").count() == 84
+        assert spark.read.parquet(f"{base}/silver/stream_events").count() == 916
+        assert spark.read.json(f"{base}/silver/stream_rejected").count() == 84
         assert spark.read.parquet(f"{base}/gold/user_metrics").count() > 0
     finally:
         pipe.stop()
     assert not any(q.isActive for q in pipe.queries.values())
+
+
+def test_batch_and_stream_share_a_base(spark):
+    from ripplelake.plans import jobs
+
+    raw = PipelineTables(spark, SF["0.001"]).raw_events
+    src, base, ck = (scratch_path(spark, f"both-{x}") for x in ("src", "lake", "ck"))
+    to_payload(raw).limit(100).write.text(src)
+    jobs.run_medallion(spark, raw, base)
+    run_streaming_pipeline(spark, src, base, ck, available_now=True, only=["silver", "rejected"]).await_all()
+    jobs.run_medallion(spark, raw, base)
+    assert spark.read.parquet(f"{base}/silver/cleaned_events").count() == 916
+    streamed = spark.read.parquet(f"{base}/silver/stream_events").count()
+    assert streamed + spark.read.json(f"{base}/silver/stream_rejected").count() == 100
