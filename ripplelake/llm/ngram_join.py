@@ -19,7 +19,8 @@ documents link within ``RADIUS`` = 0.25.
 * **Triangle-inequality windows** leave, of the pairs across components, those
   whose distances from a shared pivot differ by at most RADIUS; these go
   through the next round with other and more pivots, and the last round
-  measures all that are left.  Regions above ``BLOCK`` members are dealt in pairs of blocks.
+  measures all that are left.  A round without open pairs ends the join only if
+  no region has more members than its pivots.  Regions above ``BLOCK`` members are dealt in pairs of blocks.
 
 Every pair within RADIUS is measured or already connected, so components are
 exact.  Shingles are 64-bit hashes, sets of equal shingles are found by a
@@ -343,6 +344,11 @@ def _state(measured: DataFrame) -> DataFrame:
                "join-state")
 
 
+def _largest(dealt: DataFrame) -> int:
+    """Members of the largest region that is compared as one."""
+    return dealt.groupBy("pivot", "i", "j").count().agg(F.max("count")).first()[0] or 0
+
+
 def _parts(measured: DataFrame) -> DataFrame:
     return connected_components(measured.filter("linked"))
 
@@ -362,6 +368,7 @@ def components(docs: DataFrame) -> DataFrame:
     dealt = _dealt(members)
     measured: DataFrame | None = None
     state: DataFrame | None = None
+    late, largest = False, None
     for turn, pivots in enumerate(PIVOTS):
         pairs = _open_pairs(dealt, state, pivots, turn)
         if measured is None:
@@ -370,16 +377,22 @@ def components(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti")
         pairs = cut(pairs, "open-pairs")
         if pairs.isEmpty():
-            break
+            # Pivots' pairs only: those of other members may still be open.
+            largest = _largest(dealt) if largest is None else largest
+            if pivots is None or largest <= pivots:
+                break
+            continue
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         found = _measure(pairs, _sets(docs, nodes, classes))
         measured = found if measured is None else measured.union(found)
         if pivots is not None:
             state = _state(measured)
+        else:
+            late = not found.filter("linked").isEmpty()
     # No round, or a last round without links, leaves the components as they are.
     if measured is None:
         parts = classes.select("node", F.col("node").alias("component")).limit(0)
-    elif pivots is not None or found.filter("linked").isEmpty():
+    elif state is not None and not late:
         parts = state.select("node", "component")
     else:
         parts = _parts(measured)

@@ -187,6 +187,26 @@ def test_join_of_a_large_near_copy_group(spark, monkeypatch, block):
     assert got_components(df) == brute_components(rows)
 
 
+def half_length_pair():
+    """Near copies of a long text, one component after a round, and two near
+    copies of its first half, which meet only in the regions of all of them."""
+    r = random.Random(5)
+    base = [f"w{r.randrange(10**6)}" for _ in range(300)]
+    rows = [(i, " ".join([*base, f"x{i}"]), "en", "s", 0) for i in range(60)]
+    first, last = base[:150], base[:150]
+    first[50], last[100] = "y1", "y2"
+    return rows + [(60, " ".join(first), "en", "s", 0), (61, " ".join(last), "en", "s", 0)]
+
+
+def test_join_goes_on_after_a_round_without_open_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PIVOTS", (2, 3, None))
+    rows = half_length_pair()
+    df = spark.createDataFrame(rows, DOCS)
+    got = got_components(df)
+    assert got == brute_components(rows)
+    assert {c for i, _, c in got if i in ("60", "61")} == {"60"}
+
+
 def test_keep_one(docs, rows):
     out = ngram_join.keep_one(docs)
     parts = dict((i, c) for i, _, c in brute_components(rows))
