@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TEXTS, WordHashes, cut, partitions, ship
+from .common import TEXTS, WordHashes, cut, join_groups, partitions, ship
 from .components import connected_components
 
 ship(__name__)
@@ -353,8 +353,8 @@ def _parts(measured: DataFrame) -> DataFrame:
     return connected_components(measured.filter("linked"))
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable) of every row."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component (a node) and its component_id (smallest doc_id) of every row."""
     spark = docs.sparkSession
     rows = shingle_rows(docs)
     first = F.min(F.struct("doc_id", "text_hash"))
@@ -399,23 +399,42 @@ def components(docs: DataFrame) -> DataFrame:
     named = (classes.select("node", "digest", "label", "n_shingles").join(parts, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     least = named.groupBy("component").agg(F.min("label").alias("component_id"))
-    named = cut(named.join(least, "component").select("digest", "component_id"), "components")
-    out = rows.select("doc_id", "n_shingles", "digest").join(named, "digest")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
-                      .otherwise(F.col("doc_id")).alias("component_id"))
+    named = cut(named.join(least, "component").select("digest", "component", "component_id"), "components")
+    return rows.select("doc_id", "text_hash", "n_shingles", "digest").join(named, "digest").drop("digest")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one of the smallest doc_id, with all its columns.
+def components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest doc_id reachable) of every row."""
+    return _placed(docs).select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
+                                .otherwise(F.col("doc_id")).alias("component_id"))
+
 
-    Rows that repeat an id keep one row (the smallest text); rows without an id stay.
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component, the one of the smallest doc_id (then of the
+    least text hash), with all its columns.
+
+    Rows are told apart by id and text: rows that repeat an id with unlike texts
+    are each judged in their own component, and of equal rows one stays.  Blank
+    texts are components by id.  Rows without an id are judged apart from those
+    with one: of each component one stays, also beside a row with an id; those with
+    blank text stay.
     """
-    spark = docs.sparkSession
-    gone = cut(components(docs).groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("n"))
-               .filter("doc_id is not null and (doc_id <> c or n > 1)")
-               .select(F.col("doc_id").alias("_gone"), (F.col("doc_id") == F.col("c")).alias("_repeated")), "not-kept")
-    rows = docs.select(F.struct("*").alias("_row"), "doc_id", "text")
+    no_id, own = F.col("doc_id").isNull(), F.when(F.col("n_shingles") == 0, F.col("doc_id"))
+    group = ["component", "no_id", "own"]
+    keys = (_placed(docs).filter("n_shingles > 0 or doc_id is not null")
+            .groupBy("component", no_id.alias("no_id"), own.alias("own"), "doc_id", "text_hash")
+            .agg(F.count("*").alias("n")))
+    keys = cut(keys, "row-keys")
+    first = cut(keys.groupBy(group).agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.count("*").alias("keys"))
+                .filter("keys > 1").drop("keys"), "first-keys")
+    keys = join_groups(keys, first, group, F.xxhash64("doc_id", "text_hash"), "left")
+    stays = F.col("first").isNull() | F.struct("doc_id", "text_hash").eqNullSafe(F.col("first"))
+    gone = cut(keys.withColumn("_repeated", stays).filter("not _repeated or n > 1")
+               .select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash"), "_repeated"), "not-kept")
+    rows = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64("text").alias("text_hash"))
     join = F.broadcast(gone) if gone.count() <= BROADCAST_NODES else gone
-    rows = rows.join(join, F.col("doc_id") == F.col("_gone"), "left").filter("_gone is null or _repeated")
-    once = rows.filter("_gone is not null").groupBy("doc_id").agg(F.min_by("_row", F.coalesce("text", F.lit(""))).alias("_row"))
-    return rows.filter("_gone is null").select("_row.*").union(once.select("_row.*"))
+    rows = rows.join(join, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("text_hash") == F.col("_hash")), "left")
+    rows = rows.filter("_hash is null or _repeated")
+    once = (rows.filter("_hash is not null").groupBy("doc_id", "text_hash")
+            .agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")))
+    return rows.filter("_hash is null").select("_row.*").union(once.select("_row.*"))

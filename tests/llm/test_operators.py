@@ -215,6 +215,21 @@ def test_keep_one(docs, rows):
     assert sorted(map(str, kept)) == sorted([i for i, c in parts.items() if i == c] + ["None"])
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    """Ids that repeat with unlike texts, equal rows, and copies without an id."""
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    a, b, c, d, e, f = texts
+    rows = [(3, b, 1), (7, a, 2), (7, b + " more", 3), (8, c, 4), (8, d, 5), (9, e, 6), (9, e, 7),
+            (None, f, 8), (None, f, 9), (None, f + " more", 10), (10, "", 11), (10, " ", 12), (11, "", 13)]
+    df = spark.createDataFrame([(i, t, "en", "s", n) for i, t, n in rows], DOCS)
+    got = [(x.doc_id, x.n_chars) for x in ngram_join.keep_one(df).collect()]
+    one_of = [{(3, 1)}, {(7, 2)}, {(8, 4)}, {(8, 5)}, {(9, 6), (9, 7)}, {(None, 8), (None, 9), (None, 10)},
+              {(10, 11), (10, 12)}, {(11, 13)}]
+    assert len(got) == len(one_of)
+    assert all(len(x & set(got)) == 1 for x in one_of)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = {r.node: r.component for r in components.connected_components(
