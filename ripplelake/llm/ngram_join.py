@@ -331,15 +331,22 @@ def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                "distances", 100)
 
 
-def _state(measured: DataFrame) -> DataFrame:
-    """Component, home pivot and distance from it of every measured node.
+def _homes(measured: DataFrame) -> DataFrame:
+    """Home pivot and distance from it of every measured node.
 
     Pivots are the members of least hash, so the measured neighbour of least hash is the home.
     """
     both = measured.select(F.col("a").alias("node"), F.col("b").alias("home"), "away").union(
         measured.select(F.col("b").alias("node"), F.col("a").alias("home"), "away"))
-    homes = (both.groupBy("node").agg(F.min(F.struct(F.xxhash64("home"), "home", "away")).alias("best"))
-             .select("node", "best.home", "best.away"))
+    return (both.groupBy("node").agg(F.min(F.struct(F.xxhash64("home"), "home", "away")).alias("best"))
+            .select("node", "best.home", "best.away"))
+
+
+def _state(measured: DataFrame, whole: bool) -> DataFrame:
+    """Component, home pivot and distance from it of every measured node; ``whole``: each its own component."""
+    homes = _homes(measured)
+    if whole:
+        return cut(homes.withColumn("component", F.col("node")), "join-state")
     return cut(homes.join(_parts(measured), "node", "left").withColumn("component", F.coalesce("component", "node")),
                "join-state")
 
@@ -353,17 +360,20 @@ def _parts(measured: DataFrame) -> DataFrame:
     return connected_components(measured.filter("linked"))
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component (a node) and its component_id (smallest doc_id) of every row."""
-    spark = docs.sparkSession
-    rows = shingle_rows(docs)
+def _classes(rows: DataFrame) -> DataFrame:
+    """One row for each set of shingles, with a node number and one of its rows (``label``, ``text_hash``)."""
     first = F.min(F.struct("doc_id", "text_hash"))
-    classes = cut(rows.groupBy("digest").agg(F.min("doc_id").alias("label"), F.first("n_shingles").alias("n_shingles"),
-                                             first.alias("one"), F.min_by("text_hash", "doc_id").alias("hash_of_label"),
-                                             F.first("prefix").alias("prefix"))
-                  .select("digest", "label", "n_shingles", "prefix",
-                          F.coalesce("hash_of_label", "one.text_hash").alias("text_hash"))
-                  .withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
+    return cut(rows.groupBy("digest").agg(F.min("doc_id").alias("label"), F.first("n_shingles").alias("n_shingles"),
+                                          first.alias("one"), F.min_by("text_hash", "doc_id").alias("hash_of_label"),
+                                          F.first("prefix").alias("prefix"))
+               .select("digest", "label", "n_shingles", "prefix",
+                       F.coalesce("hash_of_label", "one.text_hash").alias("text_hash"))
+               .withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
+
+
+def _rounds(docs: DataFrame, classes: DataFrame, whole: bool) -> tuple[DataFrame | None, DataFrame | None, bool]:
+    """Measured pairs, the state before the last round, and if the last round
+    found links.  ``whole``: pairs inside a component are measured too."""
     members, twos = _members(classes)
     dealt = _dealt(members)
     measured: DataFrame | None = None
@@ -386,9 +396,17 @@ def _placed(docs: DataFrame) -> DataFrame:
         found = _measure(pairs, _sets(docs, nodes, classes))
         measured = found if measured is None else measured.union(found)
         if pivots is not None:
-            state = _state(measured)
+            state = _state(measured, whole)
         else:
             late = not found.filter("linked").isEmpty()
+    return measured, state, late
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component (a node) and its component_id (smallest doc_id) of every row."""
+    rows = shingle_rows(docs)
+    classes = _classes(rows)
+    measured, state, late = _rounds(docs, classes, False)
     # No round, or a last round without links, leaves the components as they are.
     if measured is None:
         parts = classes.select("node", F.col("node").alias("component")).limit(0)
@@ -409,6 +427,43 @@ def components(docs: DataFrame) -> DataFrame:
                                 .otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    measured, _, _ = _rounds(docs, classes, True)
+    if measured is None:
+        return classes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0.0).alias("away")).limit(0)
+    return measured.filter("linked").select("a", "b", "away")
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """Every two classes (texts of equal shingles) within RADIUS, once: a_id,
+    a_hash, b_id, b_hash (smallest doc_id and text hash of one text of each) and distance.
+
+    Also the pairs inside a component are measured, so the work and the result
+    grow with the square of a group of near copies; ``components`` needs neither.
+    """
+    classes = _classes(shingle_rows(docs))
+    out = _links(classes, docs)
+    for side in ("a", "b"):
+        out = out.join(classes.select(F.col("node").alias(side), F.col("label").alias(f"{side}_id"),
+                                      F.col("text_hash").alias(f"{side}_hash")), side)
+    return out.select("a_id", "a_hash", "b_id", "b_hash", F.col("away").alias("distance"))
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, class_id (smallest doc_id of equal shingles; a blank
+    text's own id) and n_links, the number of other classes within RADIUS, of every row."""
+    rows = shingle_rows(docs)
+    classes = _classes(rows)
+    pairs = _links(classes, docs)
+    counts = (pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+              .groupBy("node").agg(F.count("*").alias("n_links")))
+    counted = cut(classes.select("node", "digest", "label").join(counts, "node", "left")
+                  .select("digest", "label", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "link-counts")
+    return rows.select("doc_id", "n_shingles", "digest").join(counted, "digest").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id")).alias("class_id"),
+        "n_links")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, the one of the smallest doc_id (then of the
     least text hash), with all its columns.

@@ -207,6 +207,32 @@ def test_join_goes_on_after_a_round_without_open_pairs(spark, monkeypatch):
     assert {c for i, _, c in got if i in ("60", "61")} == {"60"}
 
 
+def test_links_within_components(spark, monkeypatch):
+    """Every pair of near copies is measured, also when both are in one component."""
+    monkeypatch.setattr(ngram_join, "PIVOTS", (2, 3, None))
+    r = random.Random(12)
+    base = [f"w{r.randrange(10**6)}" for _ in range(70)]
+    rows = []
+    for i in range(24):
+        w = list(base)
+        for _ in range(r.randint(0, 3)):
+            w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(w), "en", "s", 0))
+    rows += [(30, rows[3][1], "en", "s", 0), (31, "", "en", "s", 0)]
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t, *_ in rows)]
+    classes = {}
+    for (i, *_), x in zip(rows, sets):
+        classes.setdefault(frozenset(x), i)
+    want = {(a, b) for x, a in classes.items() for y, b in classes.items()
+            if a < b and x and y and 100 * len(x & y) >= 75 * len(x | y)}
+    df = spark.createDataFrame(rows, DOCS)
+    got = ngram_join.links(df).collect()
+    assert len(got) == len(want) and {tuple(sorted((x.a_id, x.b_id))) for x in got} == want
+    counts = Counter(i for pair in want for i in pair)
+    assert {x.doc_id: (x.class_id, x.n_links) for x in ngram_join.link_counts(df).collect()} == {
+        i: (i if not x else classes[frozenset(x)], counts[classes[frozenset(x)]]) for (i, *_), x in zip(rows, sets)}
+
+
 def test_keep_one(docs, rows):
     out = ngram_join.keep_one(docs)
     parts = dict((i, c) for i, _, c in brute_components(rows))
