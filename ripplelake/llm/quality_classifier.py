@@ -117,8 +117,8 @@ def statistics_table(docs: DataFrame) -> DataFrame:
 
 
 def trusted_positives(numbers: DataFrame, labels: DataFrame) -> DataFrame:
-    """Statistics of the rows whose id is labelled 1 in the training folds; half
-    of them (``half`` = 1) are for the prior's estimate only."""
+    """Statistics of the rows whose id is labelled 1 in the training folds.  The
+    prior's ranker learns from ``half`` = 0 and its estimate reads ``half`` = 1; the risk has all."""
     ids = (labels.filter(fold(F.col("doc_id"), FOLDS, HELD_OUT) != HELD_OUT)
            .groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
            .filter("low = 1 and high = 1").select("doc_id"))
@@ -160,16 +160,21 @@ def _pass(numbers: DataFrame, w: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def estimate_prior(numbers: DataFrame, positives: DataFrame) -> float:
-    """Share of positives in the corpus, by the best bin of a positives-against-corpus classifier."""
+    """Share of positives in the corpus, by the best bin of a positives-against-corpus classifier.
+
+    The bin is read from positives that the classifier hasn't learnt from,
+    unless one of the halves is empty; then both steps have all.
+    """
+    learnt, unseen = positives.filter("half = 0"), positives.filter("half = 1")
+    if learnt.isEmpty() or unseen.isEmpty():
+        learnt = unseen = positives
     w = np.zeros(WIDTH)
     for _ in range(PRIOR_STEPS):
-        u, p = _pass(numbers, w), _pass(positives, w)
+        u, p = _pass(numbers, w), _pass(learnt, w)
         ridge = RIDGE / p["n"]
         slope = u["gradient"] / u["n"] + (p["gradient"] - p["inputs"]) / p["n"] + ridge * w
         w = w - np.linalg.solve(u["curve"] / u["n"] + p["curve"] / p["n"] + ridge * np.eye(WIDTH), slope)
-    u, p = _pass(numbers, w), _pass(positives.filter("half = 1"), w)
-    if not p["n"]:
-        p = _pass(positives, w)
+    u, p = _pass(numbers, w), _pass(unseen, w)
     above_u, above_p = np.cumsum(u["bins"][::-1]) / u["n"], np.cumsum(p["bins"][::-1]) / p["n"]
     slack = np.sqrt(np.log(40) / (2 * u["n"])) + np.sqrt(np.log(40) / (2 * p["n"]))
     some = above_p > 0

@@ -128,6 +128,19 @@ def test_classifier_on_held_out_labels(spark):
     assert held == {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in held}
 
 
+def test_prior_is_read_from_unseen_positives(spark):
+    """The ranker learns from one half; a kind of text that only the other half
+    holds is not ranked first, so the bound takes in all that is above it."""
+    low, high = quality_classifier._LOW, quality_classifier._HIGH
+    a, b, c = (x.astype(np.float32).tobytes() for x in (low, high, low + (high - low) * 0.4))
+    numbers = spark.createDataFrame([(a,)] * 500 + [(b,)] * 100 + [(c,)] * 400, "x binary")
+    positives = spark.createDataFrame([(a, 0)] * 200 + [(b, 1)] * 200, "x binary, half long")
+    assert quality_classifier.estimate_prior(numbers, positives) > 0.6
+    for half in (0, 1):
+        alone = spark.createDataFrame([(b, half)] * 200, "x binary, half long")
+        assert quality_classifier.estimate_prior(numbers, alone) < 0.3
+
+
 def test_classifier_edges(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 0), (3, None, None)], "doc_id long, quality int, toxic int")
     out = quality_classifier.rate(docs, labels)
