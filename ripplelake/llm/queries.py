@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (
     fingerprints,
+    impact_search,
     lm_scoring,
     mixing,
     ngram_join,
     packing,
+    phrase_mining,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     token_counts,
     url_filters,
     warc,
@@ -185,3 +189,105 @@ def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page."""
     records = warc.responses(table(spark, sf_dir, "pages"))
     return warc.derivatives(records, ["page_id"]).drop("date")
+
+
+ORACLES["op11_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS pos FROM d WHERE len(w) >= 20
+), again AS (
+  SELECT doc_id, pos FROM places
+  QUALIFY row_number() OVER (PARTITION BY array_to_string(w[pos:pos + 19], ' ') ORDER BY doc_id, pos) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, pos + j AS pos FROM again, range(20) AS t(j)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d
+), kept AS (
+  SELECT doc_id, count(gone.pos) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone.pos IS NULL) AS text
+  FROM words LEFT JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words without windows of 20 that start earlier too."""
+    kept = substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_phrase_mining"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), runs AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), spans AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM runs, range(1, 6) AS t(k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM spans GROUP BY lang, k, phrase
+  HAVING count(*) >= 100
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM runs GROUP BY lang
+), inside AS (
+  SELECT DISTINCT long.lang, array_to_string(long.w[i:i + size - 1], ' ') AS phrase, long.f
+  FROM f AS long, range(2, 5) AS s(size), range(1, 5) AS t(i) WHERE size < long.k AND i + size - 1 <= long.k
+), cuts AS (
+  SELECT f.lang, f.phrase, f.f AS a, l.f AS l, r.f AS r, n, j,
+         CAST(1000::HUGEINT * f.f * n // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM f, range(1, 5) AS t(j), f AS l, f AS r, totals
+  WHERE j < f.k AND l.lang = f.lang AND r.lang = f.lang AND totals.lang = f.lang
+    AND l.phrase = array_to_string(f.w[1:j], ' ') AND r.phrase = array_to_string(f.w[j + 1:], ' ')
+    AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = f.lang AND i.phrase = f.phrase AND 100 * i.f >= 100 * f.f)
+), worst AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, CAST(row_number() OVER best AS INTEGER) AS rank, phrase, a, l, r, n, score FROM worst
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER best <= 2000"""
+
+
+@query
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 best collocations."""
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_impact_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), lengths AS (
+  SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM lengths
+), asked AS (
+  SELECT item_id, term, count(*) AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term
+), tfs AS (
+  SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term, nd
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // nt)))) AS BIGINT) AS score
+  FROM tfs JOIN weights USING (term) JOIN asked USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER best <= 10"""
+
+
+@query
+def op13_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return impact_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

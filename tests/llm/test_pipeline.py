@@ -15,7 +15,7 @@ from tools.check_oracle import compare, connect
 def test_registration():
     names = set(entry.queries())
     assert set(queries.queries()) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "quality classifier", "n-gram Jaccard join", "mixing", "best-fit packing"]
 
