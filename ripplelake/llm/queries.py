@@ -23,7 +23,7 @@ from . import (
     url_filters,
     warc,
 )
-from .common import LOWER, UPPER, WHITE_RUN, table
+from .common import LOWER, UPPER, WHITE_RUN, cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -217,7 +217,8 @@ FROM d LEFT JOIN kept USING (doc_id)"""
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words without windows of 20 that start earlier too."""
     kept = substring_dedup.dedup(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    kept = kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return cut(kept, "kept-digests", substring_dedup.SOME)
 
 
 ORACLES["op12_phrase_mining"] = r"""

@@ -42,10 +42,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import TEXTS, WordHashes, cut, join_groups, partitions, ship
+from .common import cut, partitions, ship
 from .fm_index import FMIndex
 
 ship(__name__)
@@ -56,9 +57,13 @@ MOST = 63
 HOT = 512
 SHARD_WORDS = 1 << 18
 BITMAP = 1 << 26
-WORD_CACHE = 300_000
+#: Texts that a task hashes at once.
+SOME = 300
 _ODD, _MORE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _BACK = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+#: Masks of the first 0 to 8 bytes; the bytes that end a word.
+_FIRST = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,21 +72,44 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-class Hashed:
-    """Word hashes of texts, end to end; remembers those of words."""
-
-    def __init__(self) -> None:
-        self.known = WordHashes()
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > WORD_CACHE:
-            self.known.clear()
-        out, size = [], []
-        for t in texts.cast(pa.binary()).to_pylist():
-            words = (t or b"").split()
-            size.append(len(words))
-            out.append(np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words)))
-        return (np.concatenate(out) if out else np.empty(0, np.uint64)), np.array(size, dtype=np.int64)
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes end to end and each text's first place; null is empty."""
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    flat = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)
+    return flat[ends[0]:ends[-1]], ends - ends[0]
+
+
+def word_places(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length of all words, and the number of words of each text."""
+    solid = ~_WHITE[flat]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    last = solid.copy()
+    last[:-1] &= ~solid[1:]
+    edge = ends[1:-1][(ends[1:-1] > 0) & (ends[1:-1] < len(flat))]  # words of neighbouring texts may touch
+    first[edge] = solid[edge]
+    last[edge - 1] = solid[edge - 1]
+    start = np.flatnonzero(first)
+    return start, np.flatnonzero(last) + 1 - start, np.diff(np.searchsorted(start, ends))
+
+
+def hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the texts' words, end to end, and the number of each text."""
+    flat, ends = _bytes_of(texts)
+    start, size, n = word_places(flat, ends)
+    padded = np.concatenate([flat, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(flat) + 1, dtype="<u8", buffer=padded, strides=(1,))  # the eight bytes from each place on
+    out = _mix(size.astype(np.uint64))
+    rest, left = np.arange(len(start)), size
+    with np.errstate(over="ignore"):
+        while len(rest):
+            part = eight[start] & _FIRST[np.minimum(left, 8)]
+            out[rest] = _mix((out[rest] ^ part) * _MORE)
+            more = left > 8
+            rest, start, left = rest[more], start[more] + 8, left[more] - 8
+    return out, n
 
 
 def _window_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -194,7 +222,6 @@ def _segment_rows(docs: DataFrame, window: int) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = Hashed()
         for b in batches:
             words, size = hashed(b.column("text"))
             doc, start, n, anchor, content = segments(words, size, window)
@@ -207,7 +234,7 @@ def _segment_rows(docs: DataFrame, window: int) -> DataFrame:
                                              + lists, ["doc_id", "text_hash", "doc_key", "start", "n", "anchor", "content"])
 
     kinds = f"doc_id {kind}, text_hash long, doc_key long, start array<int>, n array<int>, anchor array<long>, content array<long>"
-    return cut(docs.mapInArrow(run, kinds), "segments", TEXTS)
+    return cut(docs.mapInArrow(run, kinds), "segments", SOME)
 
 
 def _suspects(rows: DataFrame) -> DataFrame:
@@ -232,81 +259,89 @@ def _suspects(rows: DataFrame) -> DataFrame:
     return cut(rows.mapInArrow(run, kinds), "suspects")
 
 
-def _pieces(docs: DataFrame, contents: DataFrame, window: int) -> DataFrame:
-    """Words of one place of every content; hot contents window by window, each
-    with its own hash as ``piece``."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(bitmap(contents.select("doc_key"), "doc_key"))
-    wanted = contents.groupBy("doc_key", "text_hash").agg(F.collect_list(
-        F.struct("anchor", "content", "start", "n", "hot")).alias("wanted"))
+def _texts_of(docs: DataFrame, contents: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text, wanted): the documents whose words ``contents`` need, with the list of those."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(contents, "doc_key"))
+    wanted = contents.groupBy("doc_key", "text_hash").agg(
+        F.collect_list(F.struct("anchor", "content", "start", "n")).alias("wanted"))
+    texts = docs.filter(_in_bitmap(bits, "doc_key")).dropDuplicates(["doc_key", "text_hash"])
+    return texts.join(wanted, ["doc_key", "text_hash"]).select("doc_id", "text_hash", "text", "wanted")
+
+
+def _wanted(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Word hashes of the batch, the first of every wanted segment, its row, anchor, content, start and windows."""
+    words, size = hashed(b.column("text"))
+    want = b.column("wanted")
+    owner = np.repeat(np.arange(b.num_rows), np.diff(want.offsets.to_numpy()))
+    anchor, content, start, n = (x.to_numpy() for x in want.flatten().flatten())
+    return words, (np.cumsum(size) - size)[owner] + start, owner, anchor, content, start, n
+
+
+def _segment_words(docs: DataFrame, contents: DataFrame, window: int) -> DataFrame:
+    """One place of every content, with its words."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = Hashed()
         for b in batches:
-            words, size = hashed(b.column("text"))
-            begins = np.cumsum(size) - size
-            want = b.column("wanted")
-            owner = np.repeat(np.arange(b.num_rows), np.diff(want.offsets.to_numpy()))
-            anchor, content, start, n, hot = (x.to_numpy(zero_copy_only=False) for x in want.flatten().flatten())
-            copies = np.where(hot, n, 1)
-            pick = np.repeat(np.arange(len(n)), copies)
-            shift = np.where(hot[pick], np.arange(len(pick)) - np.repeat(np.cumsum(copies) - copies, copies), 0)
-            start, n, owner, hot = start[pick] + shift, np.where(hot[pick], 1, n[pick]), owner[pick], hot[pick]
-            at = begins[owner] + start
-            piece = np.where(hot, _run_hash(words, at, n + window - 1).view(np.int64), content[pick])
-            take = pa.array(owner)
+            words, at, owner, anchor, content, start, n = _wanted(b)
+            rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[pick]), pa.array(content[pick]), pa.array(piece), pa.array(hot),
-                 pa.array(shift.astype(np.int32)), b.column("doc_id").take(take), b.column("text_hash").take(take),
-                 pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
-                 pa.array([words[i:i + k].tobytes() for i, k in zip(at, n + window - 1)], pa.binary())],
-                ["anchor", "content", "piece", "hot", "shift", "doc_id", "text_hash", "start", "n", "words"])
+                [pa.array(anchor), pa.array(content), b.column("doc_id").take(rows), b.column("text_hash").take(rows),
+                 pa.array(start), pa.array([words[i:i + k].tobytes() for i, k in zip(at, n + window - 1)], pa.binary())],
+                ["anchor", "content", "doc_id", "text_hash", "start", "words"])
 
-    texts = docs.filter(_in_bitmap(bits, "doc_key")).dropDuplicates(["doc_key", "text_hash"])
-    rows = texts.join(wanted, ["doc_key", "text_hash"]).select("doc_id", "text_hash", "text", "wanted")
-    kinds = (f"anchor long, content long, piece long, hot boolean, shift int, doc_id {kind}, text_hash long, start int, "
-             "n int, words binary")
-    return cut(rows.mapInArrow(run, kinds), "pieces", TEXTS)
-
-
-def build_index(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(shard, blob): the FM-index of every shard's sequences, in document order."""
-    def build(t: pa.Table) -> pa.Table:
-        t = _in_order(t)
-        index = FMIndex([np.frombuffer(x, dtype=np.uint64) for x in t["words"].to_pylist()], window)
-        return pa.table({"shard": t["shard"].slice(0, 1), "blob": pa.array([index.dumps()], pa.binary())})
-
-    return cut(pieces.groupBy("shard").applyInArrow(build, "shard long, blob binary"), "fm-index")
-
-
-def _in_order(t: pa.Table) -> pa.Table:
-    return t.sort_by([(c, "ascending") for c in ("no_id", "doc_id", "text_hash", "start", "piece")])
-
-
-def _search(pieces: DataFrame, index: DataFrame, window: int) -> DataFrame:
-    """(anchor, piece, mask): windows of every piece that start earlier too, a bit each."""
-    def search(t: pa.Table, shard: pa.Table) -> pa.Table:
-        t, found = _in_order(t), FMIndex.loads(shard["blob"][0].as_py())
-        words = [np.frombuffer(x, dtype=np.uint64) for x in t["words"].to_pylist()]
-        size = np.array([len(x) for x in words], dtype=np.int64)
-        symbols = np.full(int(size.sum()) + len(size), -1, dtype=np.int64)
-        starts = np.cumsum(size + 1) - size
-        at = np.arange(int(size.sum())) + np.repeat(np.arange(1, len(size) + 1), size)
-        symbols[at] = found.symbols(np.concatenate(words))
-        n = size - window + 1
-        owner = np.repeat(np.arange(len(n)), n)
-        shift = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        place = starts[owner] + shift
-        matched, low, _ = found.matching(symbols, place + window, least=2)
-        first = np.where(matched == window, found.first_place(low), -1)
-        again = (first >= 0) & (first != place)  # the index has the pieces in the same order
-        mask = np.zeros(len(n), dtype=np.int64)
-        np.bitwise_or.at(mask, owner[again], np.int64(1) << shift[again])
-        return pa.table({"anchor": t["anchor"], "piece": t["piece"], "mask": pa.array(mask)})
-
-    both = pieces.groupBy("shard").cogroup(index.groupBy("shard"))
-    return both.applyInArrow(search, "anchor long, piece long, mask long")
+    return _texts_of(docs, contents).mapInArrow(
+        run, f"anchor long, content long, doc_id {kind}, text_hash long, start int, words binary")
+
+
+def _hot_windows(docs: DataFrame, contents: DataFrame, window: int) -> DataFrame:
+    """Every window of the contents, by itself: its hash and its number in the segment."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words, at, owner, anchor, content, start, n = _wanted(b)
+            shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at, rows = np.repeat(at, n) + shift, pa.array(np.repeat(owner, n))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(anchor, n)), pa.array(np.repeat(content, n)), pa.array(shift.astype(np.int32)),
+                 _signed(_run_hash(words, at, np.full(len(at), window))), b.column("doc_id").take(rows),
+                 b.column("text_hash").take(rows), pa.array((np.repeat(start, n) + shift).astype(np.int32))],
+                ["anchor", "content", "shift", "whole", "doc_id", "text_hash", "start"])
+
+    return cut(_texts_of(docs, contents).mapInArrow(
+        run, f"anchor long, content long, shift int, whole long, doc_id {kind}, text_hash long, start int"), "hot-windows", SOME)
+
+
+def matching_statistics(words: list[np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sequence, start, first): repeated windows of sequences that stand in document order, each
+    sequence's windows streamed past the index of all; ``first`` tells whether it is the first place."""
+    index = FMIndex(words, window)
+    size = np.array([len(x) for x in words], dtype=np.int64)
+    symbols = np.full(int(size.sum()) + len(size), -1, dtype=np.int64)
+    symbols[np.arange(int(size.sum())) + np.repeat(np.arange(1, len(size) + 1), size)] = index.symbols(np.concatenate(words))
+    n = np.maximum(0, size - window + 1)
+    owner = np.repeat(np.arange(len(n)), n)
+    shift = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    place = index.starts[owner] + shift
+    matched, low, _ = index.matching(symbols, place + window, least=2)
+    again = np.flatnonzero(matched == window)
+    return owner[again], shift[again], index.first_place(low[again]) == place[again]
+
+
+def _masks(pieces: DataFrame, shards: int, window: int) -> DataFrame:
+    """(anchor, content, mask): windows of every content that start earlier too, a bit each."""
+    def search(t: pa.Table) -> pa.Table:
+        t = t.sort_by([(c, "ascending") for c in ("no_id", "doc_id", "text_hash", "start")])
+        owner, shift, first = matching_statistics([np.frombuffer(x, dtype=np.uint64) for x in t["words"].to_pylist()], window)
+        mask = np.zeros(t.num_rows, dtype=np.int64)
+        np.bitwise_or.at(mask, owner[~first], np.int64(1) << shift[~first])
+        held = np.flatnonzero(mask)
+        return pa.table({"anchor": t["anchor"].take(pa.array(held)), "content": t["content"].take(pa.array(held)),
+                         "mask": pa.array(mask[held])})
+
+    dealt = pieces.withColumns({"no_id": F.col("doc_id").isNull(), "shard": F.pmod(F.xxhash64("anchor"), F.lit(shards))})
+    return dealt.groupBy("shard").applyInArrow(search, "anchor long, content long, mask long")
 
 
 def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -317,52 +352,28 @@ def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     contents = places.groupBy("anchor", "content").agg(
         F.min(_place()).alias("first"), F.max("n").alias("n"), F.count("*").alias("places"))
     contents = cut(contents, "contents")
-    groups = contents.groupBy("anchor").agg(F.count("*").alias("k"), F.sum("places").alias("p"))
-    hot = groups.filter(F.col("k") > HOT).select("anchor", F.lit(True).alias("hot"))
-    contents = join_groups(contents, hot, ["anchor"], F.col("content"), "left")
-    contents = contents.select("anchor", "content", "n", "places", F.coalesce("hot", F.lit(False)).alias("hot"), "first.*")
-    contents = contents.withColumn("doc_key", F.xxhash64("doc_id", "text_hash"))
-    pieces = _pieces(docs, contents, window)
-
-    by_window = (pieces.filter("hot").withColumn("place", _place()).groupBy("anchor", "piece")
-                 .agg(F.min(F.struct("place", "n", "words")).alias("x"))
-                 .select("anchor", "piece", "x.place.doc_id", "x.place.text_hash", "x.place.start", "x.n", "x.words"))
-    by_window = cut(by_window, "hot-windows")
-    whole = pieces.filter("not hot").select(*by_window.columns)
-    # A hot anchor's windows need not meet each other: they are dealt by their own hash.
-    distinct = whole.withColumn("deal", F.xxhash64("anchor")).unionByName(
-        by_window.withColumn("deal", F.xxhash64("anchor", "piece"))).withColumn("no_id", F.col("doc_id").isNull())
-    total = distinct.agg(F.sum(F.length("words") / 8)).first()[0] or 0
+    groups = contents.groupBy("anchor").agg(F.count("*").alias("k"), F.sum("places").alias("p")).filter("p > 1")
+    contents = contents.join(groups, "anchor").select(
+        "anchor", "content", "first", "first.*", "n", "places", (F.col("k") > HOT).alias("hot"))
+    contents = cut(contents.withColumn("doc_key", F.xxhash64("doc_id", "text_hash")), "repeated-contents")
+    few, many = contents.filter("not hot"), contents.filter("hot")
+
+    total = few.agg(F.sum(F.col("n") + (window - 1))).first()[0] or 0
     shards = max(4 * partitions(spark), -(-int(total) // SHARD_WORDS))
-    distinct = distinct.withColumn("shard", F.pmod("deal", F.lit(shards)).cast("long")).drop("deal")
-    masks = cut(_search(distinct, build_index(distinct, window), window), "masks")
-
-    seen = by_window.select("anchor", "piece", _place().alias("earliest"))
-    windows = (pieces.filter("hot").join(seen, ["anchor", "piece"]).filter(_place() != F.col("earliest"))
-               .groupBy("anchor", "content").agg(F.bit_or(F.expr("shiftleft(1L, shift)")).alias("mask")))
-    windows = windows.withColumnRenamed("content", "piece")
-    masks = masks.filter("mask <> 0").unionByName(windows).withColumnRenamed("piece", "content")
-    masks = masks.groupBy("anchor", "content").agg(F.bit_or("mask").alias("mask"))
-    contents = contents.select("anchor", "content", "places", F.struct("no_id", "doc_id", "text_hash", "start").alias("first"))
-    marked = contents.join(masks, ["anchor", "content"], "left").filter("places > 1 or mask is not null")
+    masks = cut(_masks(_segment_words(docs, few, window), shards, window), "masks")
+    if not many.isEmpty():
+        windows = _hot_windows(docs, many, window)
+        seen = windows.groupBy("anchor", "whole").agg(F.min(_place()).alias("earliest"))
+        windows = windows.join(seen, ["anchor", "whole"]).filter(_place() != F.col("earliest"))
+        masks = masks.unionByName(windows.groupBy("anchor", "content").agg(F.bit_or(F.expr("shiftleft(1L, shift)")).alias("mask")))
+    marked = contents.select("anchor", "content", "places", "first").join(masks, ["anchor", "content"], "left")
+    marked = marked.filter("places > 1 or mask is not null")
     every = F.expr("~shiftleft(-1L, n)")
     marked = places.join(marked, ["anchor", "content"]).withColumn(
         "mask", F.when(_place() == F.col("first"), F.col("mask")).otherwise(every))
     return cut(marked.filter("mask is not null").select("doc_id", "text_hash", "doc_key", "start", "mask"), "spans")
 
 
-def _per_document(docs: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents surely without a span, and the others with theirs as ``_spans``; both with ``_row``, the input's row."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(marked, "doc_key"))
-    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("text_hash"))
-    rows = rows.withColumn("doc_key", F.xxhash64("_row.doc_id", "text_hash"))
-    lists = marked.groupBy("doc_key", "text_hash").agg(F.collect_set(F.struct("start", "mask")).alias("_spans"))
-    hit = _in_bitmap(bits, "doc_key")
-    none = F.lit(None).cast("array<struct<start:int,mask:bigint>>").alias("_spans")
-    return (rows.filter(~hit).select("_row", none),
-            rows.filter(hit).join(lists, ["doc_key", "text_hash"], "left").select("_row", "_spans"))
-
-
 def _covered(n: int, spans: list[dict] | None, window: int) -> np.ndarray:
     """Which of n words the spans' windows cover."""
     edge = np.zeros(n + 1, dtype=np.int64)
@@ -397,22 +408,41 @@ def intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents, ``text`` without repeated words (kept words joined by one
     space), with ``n_words`` and ``n_removed`` (columns of these names are replaced)."""
-    spark = docs.sparkSession
-    clear, hit = _per_document(docs, spans(docs, window))
+    marked = spans(docs, window)
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(marked, "doc_key"))
+    made = pa.struct([("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())])
 
-    @F.arrow_udf("text string, n_words long, n_removed long")
-    def cleaned(texts: pa.Array, held: pa.Array) -> pa.Array:
+    def clean(texts: pa.Array, held: list | None) -> pa.Array:
         kept, n_words, n_removed = [], [], []
-        for t, x in zip(texts.cast(pa.binary()).to_pylist(), held.to_pylist()):
+        for i, t in enumerate(texts.cast(pa.binary()).to_pylist()):
             words = (t or b"").split()
-            gone = _covered(len(words), x, window) if x else None
-            kept.append((b" ".join(words if gone is None else [w for w, g in zip(words, gone) if not g])).decode())
             n_words.append(len(words))
-            n_removed.append(0 if gone is None else int(gone.sum()))
-        return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(n_words, pa.int64()),
-                                           pa.array(n_removed, pa.int64())], ["text", "n_words", "n_removed"])
+            if held and held[i]:
+                gone = _covered(len(words), held[i], window)
+                words = [w for w, g in zip(words, gone.tolist()) if not g]
+            n_removed.append(n_words[-1] - len(words))
+            kept.append(b" ".join(words))
+        return pa.StructArray.from_arrays([pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()),
+                                           pa.array(n_removed, pa.int64())], fields=list(made))
+
+    # Test and work in one function: a task needs one Python worker.
+    @F.arrow_udf("text string, n_words long, n_removed long")
+    def if_clear(keys: pa.Array, texts: pa.Array) -> pa.Array:
+        clear = np.flatnonzero(~_held(np.frombuffer(bits.value, dtype=np.uint8), keys.to_numpy()))
+        place = np.full(len(keys), -1, dtype=np.int64)
+        place[clear] = np.arange(len(clear))
+        return clean(texts.take(pa.array(clear)), None).take(pa.array(place, mask=place < 0))
+
+    @F.arrow_udf("text string, n_words long, n_removed long")
+    def without(texts: pa.Array, held: pa.Array) -> pa.Array:
+        return clean(texts, held.to_pylist())
 
-    rows = clear.union(hit).select("_row", cleaned("_row.text", "_spans").alias("_new"))
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("text_hash"))
+    rows = rows.withColumn("doc_key", F.xxhash64("_row.doc_id", "text_hash"))
+    lists = marked.groupBy("doc_key", "text_hash").agg(F.collect_set(F.struct("start", "mask")).alias("_spans"))
+    hit = rows.filter(_in_bitmap(bits, "doc_key")).join(lists, ["doc_key", "text_hash"], "left")
+    rows = (rows.select("_row", if_clear("doc_key", "_row.text").alias("_new")).filter("_new is not null")
+            .union(hit.select("_row", without("_row.text", "_spans"))))
     new = ("text", "n_words", "n_removed")
     own = [F.col(f"_new.{c}") if c in new else F.col(f"_row.`{c}`") for c in docs.columns]
     return rows.select(*own, *[F.col(f"_new.{c}") for c in new if c not in docs.columns])
