@@ -50,7 +50,7 @@ def test_matching_statistics(depth):
     r = np.random.default_rng(depth)
     seqs = [r.integers(1, 5, r.integers(1, 60)).astype(np.uint64) for _ in range(25)]
     seqs += [seqs[2], seqs[0][1:].copy() if len(seqs[0]) > 1 else seqs[3]]
-    index = fm_index.FMIndex.loads(fm_index.FMIndex(seqs, depth).dumps())
+    index = fm_index.FMIndex(seqs, depth)
     text = np.concatenate([np.concatenate([[0], s]) for s in seqs]).astype(int)
     asked = np.concatenate([[-1] * depth, index.symbols(np.concatenate([seqs[1], np.array([99], np.uint64), seqs[4]]))])
     words = np.concatenate([[0] * depth, seqs[1], [99], seqs[4]]).astype(int)
@@ -147,6 +147,8 @@ def test_collocations(docs, monkeypatch, limit):
     """With tries, without them, and with a switch in between."""
     monkeypatch.setattr(phrase_mining, "BROADCAST_PHRASES", limit)
     monkeypatch.setattr(phrase_mining, "HELD", 50)
+    monkeypatch.setattr(phrase_mining, "CHUNK", 3000)
+    monkeypatch.setattr(phrase_mining, "BLOCK", 100)
     got = sorted(map(tuple, phrase_mining.collocations(docs, 3, best=60).collect()))
     want = plain_collocations([tuple(r) for r in docs.select("lang", "text").collect()], 3, 60)
     assert got == want and len(got) > 100
@@ -173,7 +175,7 @@ def test_trie_holds_its_phrases_only():
         known |= set(more)
     assert sorted(p for p in _paths(trie) if p) == sorted(known)
     codes = np.array([r.randrange(0, 41) for _ in range(5000)], dtype=np.int32)
-    for level, at, _ in phrase_mining.states(trie, codes, 4):
+    for level, at, _ in phrase_mining.states(trie, codes, 4, len(codes)):
         assert at.tolist() == [i for i in range(len(codes) - level + 1) if tuple(codes[i:i + level].tolist()) in known]
 
 
