@@ -367,7 +367,8 @@ def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         windows = windows.join(seen, ["anchor", "whole"]).filter(_place() != F.col("earliest"))
         masks = masks.unionByName(windows.groupBy("anchor", "content").agg(F.bit_or(F.expr("shiftleft(1L, shift)")).alias("mask")))
     marked = contents.select("anchor", "content", "places", "first").join(masks, ["anchor", "content"], "left")
-    marked = marked.filter("places > 1 or mask is not null")
+    # Written first, so that the join below has its own exchanges and a content with very many places can be split.
+    marked = cut(marked.filter("places > 1 or mask is not null"), "marked-contents")
     every = F.expr("~shiftleft(-1L, n)")
     marked = places.join(marked, ["anchor", "content"]).withColumn(
         "mask", F.when(_place() == F.col("first"), F.col("mask")).otherwise(every))
@@ -441,6 +442,7 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = rows.withColumn("doc_key", F.xxhash64("_row.doc_id", "text_hash"))
     lists = marked.groupBy("doc_key", "text_hash").agg(F.collect_set(F.struct("start", "mask")).alias("_spans"))
     hit = rows.filter(_in_bitmap(bits, "doc_key")).join(lists, ["doc_key", "text_hash"], "left")
+    if_clear = if_clear.asNondeterministic()  # else the filter would evaluate it once more
     rows = (rows.select("_row", if_clear("doc_key", "_row.text").alias("_new")).filter("_new is not null")
             .union(hit.select("_row", without("_row.text", "_spans"))))
     new = ("text", "n_words", "n_removed")
