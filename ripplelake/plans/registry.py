@@ -276,6 +276,63 @@ register("medallion_job", with_ctes(om.MEDALLION_COUNTS), "J2 row counts per wri
     lambda spark, d: _medallion_base(spark, d)[1])
 
 
+def _two_runs(spark: SparkSession, sf_dir: str) -> str:
+    """A lake from two daily runs: what mobile devices sent arrives a run late, for all its days."""
+    from ..session import scratch_path
+    from . import jobs
+    base, raw = scratch_path(spark, "lake"), _tables(spark, sf_dir).raw_events
+    late = F.coalesce(F.col("device_type") == "mobile", F.lit(False))
+    jobs.run_medallion(spark, raw.filter(~late), base, "2024-02-01")
+    jobs.run_medallion(spark, raw.filter(late), base, "2024-02-02")
+    return base
+
+
+def _written(table: str):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from . import jobs
+        return comparable(spark.read.parquet(jobs.lake(_two_runs(spark, sf_dir))[table]))
+    return build
+
+
+def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources import readers
+    return comparable(readers.load_silver(spark, f"{_two_runs(spark, sf_dir)}/silver/cleaned_events"))
+
+
+def _rejected_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jobs
+    like = _tables(spark, sf_dir).rejected_events
+    found = spark.read.schema(like.schema).json(jobs.lake(_two_runs(spark, sf_dir))["rejected"])
+    return found.select(*like.columns)
+
+
+def _emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run that brought a day is repeated without rows: the day goes, the others stay."""
+    from ..fixtures import FIXTURE_RUN_DATE
+    from ..session import scratch_path
+    from . import jobs
+    base, raw = scratch_path(spark, "lake"), _tables(spark, sf_dir).raw_events
+    of_day = F.coalesce(F.substring("timestamp", 1, 10) == FIXTURE_RUN_DATE, F.lit(False))
+    jobs.run_medallion(spark, raw.filter(of_day), base, FIXTURE_RUN_DATE)
+    jobs.run_medallion(spark, raw.filter(~of_day), base, "2024-02-01")
+    jobs.run_medallion(spark, raw.limit(0), base, FIXTURE_RUN_DATE)
+    return comparable(spark.read.parquet(jobs.lake(base)["revenue"]))
+
+
+register("medallion_late_rows", with_ctes("SELECT * FROM @silver_events"), "Silver after a run with late rows of all days")(_late_rows)
+register("medallion_gold_written", with_ctes("SELECT * FROM @gold_revenue_metrics"), "revenue Gold as written by two runs")(
+    _written("revenue"))
+register("medallion_products_written", with_ctes("SELECT * FROM @gold_top_products"), "product Gold as written by two runs")(
+    _written("products"))
+register("medallion_segments_written", with_ctes("SELECT * FROM @gold_user_segments"), "segment Gold as written by two runs")(
+    _written("segments"))
+register("medallion_rejected_written",
+         with_ctes(f"SELECT {_RAW_LIST}, _rejection_reason FROM @tagged WHERE _rejection_reason IS NOT NULL"),
+         "dead letter as written by two runs")(_rejected_written)
+register("medallion_emptied_day", with_ctes("SELECT * FROM @gold_revenue_metrics WHERE report_date <> '2024-01-15'"),
+         "revenue Gold after a rerun that empties a day")(_emptied_day)
+
+
 def _daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jobs
     base, _ = _medallion_base(spark, sf_dir)
@@ -291,9 +348,25 @@ def _catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _ = _medallion_base(spark, sf_dir)
     prefix = f"t{uuid.uuid4().hex[:8]}_"
     catalog.create_tables(spark, base, prefix)
-    return catalog.refresh_partitions(spark, prefix + "silver_events")
+    found = catalog.refresh_partitions(spark, prefix + "silver_events")
+    catalog.drop_tables(spark, prefix)
+    return found
+
+
+def _published_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions added to the catalog from the manifests of two runs, without listing the table's folders."""
+    import uuid
+    from ..sources import catalog
+    base, prefix = _two_runs(spark, sf_dir), f"t{uuid.uuid4().hex[:8]}_"
+    catalog.create_tables(spark, base, prefix)
+    catalog.add_published(spark, prefix + "silver_events", base, "silver/cleaned_events")
+    found = spark.sql(f"SHOW PARTITIONS {prefix}silver_events")
+    catalog.drop_tables(spark, prefix)
+    return found
 
 
+register("catalog_published", with_ctes(om.SILVER_PARTITION_LIST), "partitions added from the writers' manifests")(
+    _published_partitions)
 register("catalog_partitions", with_ctes(om.SILVER_PARTITION_LIST), "partitions discovered after a write")(
     _catalog_partitions)
 

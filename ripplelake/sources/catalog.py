@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..schemas import (BRONZE_COLUMNS, BRONZE_SCHEMA, GOLD_PARTITIONS, GOLD_PRODUCTS_SCHEMA,
                        GOLD_REVENUE_SCHEMA, GOLD_SALES_SCHEMA, GOLD_SEGMENTS_SCHEMA, SILVER_PARTITIONS,
                        SILVER_SCHEMA)
+from . import publish
 
 _INGEST = [c for c in BRONZE_COLUMNS if c.startswith("ingest_")]
 
@@ -55,3 +56,27 @@ def refresh_partitions(spark: SparkSession, table: str) -> DataFrame:
     partition list (``SHOW PARTITIONS``)."""
     spark.catalog.recoverPartitions(table)
     return spark.sql(f"SHOW PARTITIONS {table}")
+
+
+def drop_tables(spark: SparkSession, prefix: str = "") -> None:
+    """Take the tables of ``create_tables`` out of the catalog; their files stay."""
+    for name, *_ in TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+
+
+def add_published(spark: SparkSession, table: str, base: str, folder: str, after: int = -1) -> int:
+    """A9 from the manifests (``sources.publish``): add the days that runs after
+    number ``after`` published to a table, drop those they emptied, and return the
+    last number.  The cost follows the touched days, not the table's folders.
+    """
+    held: dict[str, bool] = {}
+    for m in publish.manifests(spark, base):
+        if m.number > after and folder in m.tables:
+            for day in m.tables[folder]["days"]:
+                held[day] = bool(publish.children(spark, f"{base}/{folder}/{day}"))
+            after = m.number
+    for verb, wanted in (("ADD IF NOT EXISTS", True), ("DROP IF EXISTS", False)):
+        parts = ["PARTITION (" + day.replace("/", ", ") + ")" for day, there in sorted(held.items()) if there is wanted]
+        if parts:
+            spark.sql(f"ALTER TABLE {table} {verb} " + ("" if wanted else ", ").join(f"{x} " if wanted else x for x in parts))
+    return after

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.gold import as_date, for_run_date
 from ..operators.silver import parse_events
 from ..schemas import GOLD_PARTITIONS
+from . import publish
 
 
 class NoDataError(RuntimeError):
@@ -79,6 +80,7 @@ def read_bronze(spark: SparkSession, path: str, run_date=None, skip_malformed: b
 
 def load_silver(spark: SparkSession, path: str, run_date=None, merge_schema: bool = False) -> DataFrame:
     """A4: Silver Parquet with a partition predicate for one day (or all)."""
+    publish.settle_above(spark, path)
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
     return for_run_date(reader.parquet(path), run_date)
 
@@ -100,6 +102,7 @@ def load_layer(spark: SparkSession, base: str, layer: str, subpath: str, run_dat
     if layer == "silver":
         return load_silver(spark, f"{base}/silver/{subpath}", run_date)
     if layer == "gold":
+        publish.settle(spark, base.rstrip("/"))
         df = spark.read.parquet(f"{base}/gold/{subpath}")
         if run_date is None:
             return df

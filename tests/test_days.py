@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ripplelake.operators import quality, silver
 from ripplelake.plans import jobs
 from ripplelake.session import scratch_path, shared_dir
+from ripplelake.sources import publish, readers
 
 
 def event(i, day, **kw):
@@ -79,3 +80,93 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def silver_days(spark, base):
+    rows = spark.read.parquet(jobs.lake(base)["silver"])
+    return {r["event_day"]: r["count"] for r in rows.groupBy("event_day").count().collect()}
+
+
+def gold_orders(spark, base):
+    rows = spark.read.parquet(jobs.lake(base)["revenue"])
+    return {r["report_day"]: r["n"] for r in rows.groupBy("report_day").agg(F.sum("total_orders").alias("n")).collect()}
+
+
+def test_late_rows_without_bronze_lose_nothing(spark):
+    base = scratch_path(spark, "late")
+    jobs.run_medallion(spark, raw_frame(spark, [event(i, 15) for i in range(5)]), base, "2024-01-15").collect()
+    for _ in range(2):  # a rerun supersedes its own rows only
+        got = {r["table"]: r["row_count"] for r in jobs.run_medallion(
+            spark, raw_frame(spark, [event(10, 15), event(11, 16)]), base, "2024-01-16").collect()}
+        assert got["silver_events"] == 7 and got["read"] == 2
+        assert silver_days(spark, base) == gold_orders(spark, base) == {15: 6, 16: 1}
+    jobs.run_medallion(spark, raw_frame(spark, [event(i, 15) for i in range(3)]), base, "2024-01-15").collect()
+    assert silver_days(spark, base) == gold_orders(spark, base) == {15: 4, 16: 1}
+
+
+def test_emptied_days_disappear(spark):
+    base = scratch_path(spark, "emptied")
+    bad = event(9, 15, event_type="nonsense")
+    jobs.run_medallion(spark, raw_frame(spark, [event(1, 15), event(2, 14), bad]), base, "2024-01-15").collect()
+    jobs.run_medallion(spark, raw_frame(spark, [event(3, 16)]), base, "2024-01-16").collect()
+    p = jobs.lake(base)
+    assert spark.read.json(p["rejected"]).count() == 1
+    got = jobs.run_medallion(spark, raw_frame(spark, []), base, "2024-01-15").collect()
+    assert {r["table"]: r["row_count"] for r in got}["silver_events"] == 0
+    assert silver_days(spark, base) == gold_orders(spark, base) == {16: 1}
+    assert publish.files_by_day(spark, p["rejected"]) == {}
+    jobs.run_medallion(spark, raw_frame(spark, []), base, "2024-01-16").collect()  # the last rows: tables can still be read
+    for k in ("silver", "revenue", "products", "segments"):
+        assert spark.read.parquet(p[k]).count() == 0
+
+
+def test_a_killed_run_leaves_the_old_state(spark, monkeypatch):
+    base = scratch_path(spark, "killed")
+    jobs.run_medallion(spark, raw_frame(spark, [event(i, 15) for i in range(4)]), base, "2024-01-15").collect()
+
+    def fail(*_, **__):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:  # before the commit
+        m.setattr(jobs.gold, "user_segments", fail)
+        with pytest.raises(RuntimeError, match="killed"):
+            jobs.run_medallion(spark, raw_frame(spark, [event(7, 15)]), base, "2024-01-16")
+    assert silver_days(spark, base) == gold_orders(spark, base) == {15: 4}
+    moved = publish._fs
+    with monkeypatch.context() as m:  # after the commit, between two tables
+        def once(spark_, path):
+            if "/gold/top_products" in path and "_staging" in path:
+                raise RuntimeError("killed")
+            return moved(spark_, path)
+
+        real = publish._move
+        m.setattr(publish, "_move", lambda s, b, x: (m.setattr(publish, "_fs", once), real(s, b, x)))
+        with pytest.raises(RuntimeError, match="killed"):
+            jobs.run_medallion(spark, raw_frame(spark, [event(7, 15)]), base, "2024-01-16")
+    assert readers.load_silver(spark, jobs.lake(base)["silver"], "2024-01-15").count() == 5  # a reader finishes it
+    assert silver_days(spark, base) == gold_orders(spark, base) == {15: 5}
+    assert readers.load_layer(spark, base, "gold", "top_products", "2024-01-15").count() == 1
+
+
+def test_two_runs_of_one_number_conflict(spark):
+    base = scratch_path(spark, "conflict")
+    jobs.run_medallion(spark, raw_frame(spark, [event(1, 15)]), base, "2024-01-15").collect()
+    with pytest.raises(publish.PublishConflict):
+        publish.commit(spark, base, publish.Manifest("2024-01-16", f"{base}/_staging/x"), -1)
+    jobs.run_medallion(spark, raw_frame(spark, [event(2, 15)]), base, "2024-01-16", bronze=raw_frame(
+        spark, [event(1, 15), event(2, 15)])).collect()
+    with pytest.raises(publish.PublishConflict, match="rebuilt from Bronze"):
+        jobs.run_medallion(spark, raw_frame(spark, [event(1, 15)]), base, "2024-01-15")
+
+
+def test_many_days_in_one_job_each(spark):
+    """Forty touched days: published Silver is pruned to them, and no job is per day."""
+    base = scratch_path(spark, "many")
+    rows = [make_event(event_id=f"m{i}", timestamp=f"2024-{1 + i // 28:02d}-{1 + i % 28:02d}T10:00:00+00:00") for i in range(40)]
+    jobs.run_medallion(spark, raw_frame(spark, rows), base, "2024-03-01").collect()
+    assert spark.read.parquet(jobs.lake(base)["silver"]).count() == 40
+    days = {jobs.datetime.date(2024, 1, 5)}
+    plan = jobs.other_runs(spark, jobs.lake(base)["silver"], days, "run-x-")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "make_dat" in text.split("PartitionFilters: ")[1].split("]")[0]
+    assert plan.count() == 1
