@@ -1,12 +1,15 @@
 """Business rules as single column expressions (no UDFs).
 
-``rejection_reason`` is one CASE chain: the first failing rule wins, NULL
+``rejection_reason`` takes the first failing rule of one list, NULL
 means valid.  The same expression serves the batch and the streaming Silver
 step, so both paths reject the same rows for the same reason.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,37 +46,49 @@ def too_large(amount: Column) -> Column:
     return F.coalesce(F.isnan(amount) | (F.abs(amount) > F.lit(MAX_AMOUNT)), F.lit(False))
 
 
+class Rule(NamedTuple):
+    """A reason for rejecting a record, and when it applies (NULL: it does not)."""
+
+    reason: str
+    applies: Column
+    shown: str | None = None  # column whose value the reason ends with
+
+    def label(self) -> Column:
+        if self.shown is None:
+            return F.lit(self.reason)
+        return F.concat(F.lit(f"{self.reason}:"), F.coalesce(F.col(self.shown), F.lit("None")))
+
+
+#: Columns without which a record is of no use, columns with a closed set of values, and least amounts.
+REQUIRED = ("event_id", "user_id", "timestamp")
+DOMAINS = {"event_type": VALID_EVENT_TYPES, "device_type": VALID_DEVICE_TYPES}
+ABOVE = {"price": 0, "quantity": 0}
+
+
+def field_rules(missing: Callable[[str], Column] = blank) -> list[Rule]:
+    """Rules on single producer fields, in order; the reasons and the boolean flags both come from here."""
+    return [*[Rule(f"missing_{c}", missing(c)) for c in REQUIRED],
+            *[Rule(f"invalid_{c}", ~in_domain(c, known), c) for c, known in DOMAINS.items()],
+            *[Rule(f"invalid_{c}", F.col(c) <= least) for c, least in ABOVE.items()]]
+
+
 def rejection_reason(ts_col: str = "_event_ts", check_corrupt: bool = True) -> Column:
     """First failing validation rule, or NULL for a valid record.
 
-    Order: malformed_json, missing_event_id, missing_user_id,
-    missing_timestamp, invalid_event_type:<v>, invalid_device_type:<v>,
-    invalid_price (<= 0), invalid_quantity (< 1), unparseable_timestamp,
-    missing_country, price_out_of_range (an amount that is not finite or above
-    MAX_AMOUNT, which sums could not hold).  A NULL price or quantity is valid.
+    Order: malformed_json, the ``field_rules`` (missing_<column>,
+    invalid_event_type:<v>, invalid_device_type:<v>, invalid_price (<= 0),
+    invalid_quantity (< 1)), unparseable_timestamp, missing_country,
+    price_out_of_range (an amount that is not finite or above MAX_AMOUNT, which
+    sums could not hold).  A NULL price or quantity is valid.
     """
-    rules: list[tuple[Column, Column]] = []
-    if check_corrupt:
-        rules.append((F.col(CORRUPT_COL).isNotNull(), F.lit("malformed_json")))
-    rules += [
-        (blank("event_id"), F.lit("missing_event_id")),
-        (blank("user_id"), F.lit("missing_user_id")),
-        (blank("timestamp"), F.lit("missing_timestamp")),
-        (~in_domain("event_type", VALID_EVENT_TYPES),
-         F.concat(F.lit("invalid_event_type:"), F.coalesce(F.col("event_type"), F.lit("None")))),
-        (~in_domain("device_type", VALID_DEVICE_TYPES),
-         F.concat(F.lit("invalid_device_type:"), F.coalesce(F.col("device_type"), F.lit("None")))),
-        (F.col("price").isNotNull() & (F.col("price") <= 0), F.lit("invalid_price")),
-        (F.col("quantity").isNotNull() & (F.col("quantity") < 1), F.lit("invalid_quantity")),
-        (F.col(ts_col).isNull(), F.lit("unparseable_timestamp")),
-        (F.coalesce(F.trim(F.col("country")), F.lit("")) == F.lit(""), F.lit("missing_country")),
-        (too_large(F.col("price") * F.coalesce(F.col("quantity"), F.lit(1))) | too_large(F.col("price"))
-         | too_large(F.col("revenue")), F.lit("price_out_of_range")),
+    total = F.col("price") * F.coalesce(F.col("quantity"), F.lit(1))
+    rules = [Rule("malformed_json", F.col(CORRUPT_COL).isNotNull())] if check_corrupt else []
+    rules += field_rules() + [
+        Rule("unparseable_timestamp", F.col(ts_col).isNull()),
+        Rule("missing_country", F.coalesce(F.trim(F.col("country")), F.lit("")) == ""),
+        Rule("price_out_of_range", too_large(total) | too_large(F.col("price")) | too_large(F.col("revenue"))),
     ]
-    chain = F.when(*rules[0])
-    for cond, reason in rules[1:]:
-        chain = chain.when(cond, reason)
-    return chain
+    return F.coalesce(*[F.when(r.applies, r.label()) for r in rules])
 
 
 def segment(spend: Column | str, events: Column | str, variant: str = "daily") -> Column:
@@ -92,9 +107,9 @@ def segment(spend: Column | str, events: Column | str, variant: str = "daily") -
     return chain.when(events > F.lit(ENGAGED_EVENTS), F.lit("engaged_browser")).otherwise(F.lit("casual_browser"))
 
 
-def event_type_marks() -> list[Column]:
+def event_type_marks() -> dict[str, Column]:
     """Aggregates: whether each valid event type occurs."""
-    return [F.max(F.col("event_type") == t).alias(f"_has_{t}") for t in VALID_EVENT_TYPES]
+    return {f"_has_{t}": F.max(F.col("event_type") == t) for t in VALID_EVENT_TYPES}
 
 
 def event_type_set() -> Column:

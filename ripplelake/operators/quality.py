@@ -226,7 +226,7 @@ def validate_layers(spark: SparkSession, run_date: str | None,
 
     Suites run here: one row per suite (and day with ``by``) reaches the driver."""
     if layer not in ("silver", "gold", "all"):
-        raise ValueError(f"Unknown layer: {layer}")
+        raise ValueError(f"layer {layer!r} is neither silver nor gold")
     if base is not None:
         from ..sources.readers import load_layer
         silver_loader = silver_loader or (lambda: load_layer(spark, base, "silver", "cleaned_events", run_date))

@@ -3,7 +3,7 @@ quality operators (independent SQL over the oracle CTE chain)."""
 
 from __future__ import annotations
 
-from ..operators.monitoring import DEFAULT_RULES
+from ..operators.monitoring import DEFAULT_RULES, PROGRESS_RULES
 from ..operators.quality import GOLD_SALES_SUITE, SILVER_SUITE
 from .oracle import _STAMP, PURCHASE_REVENUE, register_cte
 from .sqlkit import DIV, MSUM, R
@@ -248,10 +248,16 @@ UNION ALL
 SELECT 'PurchaseRevenue', _event_ts, revenue {_ONLY_TS}
   AND _rejection_reason IS NULL AND event_type = 'purchase' AND revenue IS NOT NULL
 """
-ALARM_RULES = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{a}', '{m}', '{st}', CAST({p} AS BIGINT), CAST({t} AS DOUBLE), '{c}', CAST({n} AS INTEGER))"
-    for a, m, st, p, t, c, n in DEFAULT_RULES) + \
-    ") r(alarm_name, metric, statistic, period_seconds, threshold, comparison, evaluation_periods)"
+
+
+def _rules(rules) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(
+        f"('{a}', '{m}', '{st}', CAST({p} AS BIGINT), CAST({t} AS DOUBLE), '{c}', CAST({n} AS INTEGER))"
+        for a, m, st, p, t, c, n in rules) + \
+        ") r(alarm_name, metric, statistic, period_seconds, threshold, comparison, evaluation_periods)"
+
+
+ALARM_RULES = _rules(DEFAULT_RULES)
 ALARM_PERIODS = """
 SELECT *, CASE WHEN comparison = '>=' THEN statistic_value >= threshold
                ELSE statistic_value > threshold END AS breached
@@ -283,6 +289,33 @@ register_cte("event_metrics", EVENT_METRICS)
 register_cte("alarm_rules", ALARM_RULES)
 register_cte("alarm_periods", ALARM_PERIODS)
 
+# One update per minute of events: its rows are the minute's purchases, its time follows all its events.
+PROGRESS = """
+SELECT make_timestamp((minute + 1) * 60000000) AS ts, purchases, newest, events * 45000 AS duration_ms,
+  LAST_VALUE(CASE WHEN purchases > 0 THEN minute END IGNORE NULLS) OVER (
+    ORDER BY minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS written, minute
+FROM (
+  SELECT epoch_us(event_timestamp) // 60000000 AS minute, COUNT(*) AS events,
+    COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+    MAX(epoch_us(event_timestamp)) FILTER (WHERE event_type = 'purchase') AS newest
+  FROM silver_events GROUP BY 1
+) m
+"""
+PROGRESS_SERIES = """
+SELECT 'BatchProcessingTimeMs' AS metric, ts, CAST(duration_ms AS DOUBLE) AS value FROM progress
+UNION ALL SELECT 'ConsumerLagMs', ts, (epoch_us(ts) - newest) / 1000.0 FROM progress WHERE newest IS NOT NULL
+UNION ALL SELECT 'LastWriteAgeSeconds', ts, (minute - written) * 60.0 FROM progress WHERE written IS NOT NULL
+"""
+register_cte("progress", PROGRESS)
+register_cte("progress_series", PROGRESS_SERIES)
+register_cte("progress_rules", _rules(PROGRESS_RULES))
+register_cte("progress_periods", ALARM_PERIODS.replace("event_metrics", "progress_series").replace("alarm_rules", "progress_rules"))
+PROGRESS_ALARM = THRESHOLD_ALARM.replace("alarm_periods", "progress_periods")
+DISTINCT_BUYERS = """
+SELECT CAST(event_date AS VARCHAR) AS report_date, country, COUNT(DISTINCT user_id) AS exact_buyers, TRUE AS within_bound
+FROM silver_events WHERE event_type = 'purchase' GROUP BY event_date, country
+"""
+
 
 # -- streams (availableNow): only windows closed by the final watermark -------
 # The watermark follows the newest event time among the rows each query

@@ -194,6 +194,46 @@ register("threshold_alarm", with_ctes(om.THRESHOLD_ALARM),
         monitoring.event_metrics(_tables(spark, d).tagged), monitoring.rules_frame(spark))))
 
 
+def _progress_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarms over a progress table of one update per minute of events, thousands of updates in all."""
+    minute = F.floor(F.unix_micros("event_timestamp") / F.lit(60_000_000))
+    bought = F.col("event_type") == "purchase"
+    progress = _tables(spark, sf_dir).silver_events.groupBy(minute.alias("batch_id")).agg(
+        F.lit("silver").alias("query"), (F.count(F.lit(1)) * 45000).alias("duration_ms"), F.count_if(bought).alias("input_rows"),
+        F.lit(None).cast("double").alias("rows_per_second"), F.max(F.when(bought, F.col("event_timestamp"))).alias("newest_event"))
+    progress = progress.withColumn("ts", F.timestamp_seconds((F.col("batch_id") + 1) * 60))
+    return comparable(monitoring.threshold_alarm(monitoring.progress_metrics(progress),
+                                                 monitoring.rules_frame(spark, monitoring.PROGRESS_RULES)))
+
+
+def _written_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age of the newest written Silver row by ``processed_at``, an hour after that write: 3600 s, a breach."""
+    from . import jobs
+    base, _ = _medallion_base(spark, sf_dir)
+    written = spark.read.parquet(jobs.lake(base)["silver"])
+    now = written.agg((F.max("processed_at") + F.expr("interval 1 hour")).cast("string").alias("now")).first()["now"]
+    return monitoring.layer_freshness(written, now).select("age_seconds", "breached")
+
+
+def _distinct_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers per day and country from hourly sketches, held against exact counts."""
+    silver_t = _tables(spark, sf_dir).silver_events
+    by = ["report_date", "country"]
+    exact = (silver_t.filter("event_type = 'purchase'").withColumn("report_date", F.date_format("event_date", "yyyy-MM-dd"))
+             .groupBy(*by).agg(F.countDistinct("user_id").alias("exact_buyers")))
+    found = gold.distinct_buyers(gold.buyer_sketches(silver_t), *by)
+    bound = F.greatest(F.lit(1.0), F.lit(4 * gold.SKETCH_ERROR) * F.col("exact_buyers"))
+    return exact.join(found, by).select(*by, "exact_buyers", (
+        F.abs(F.col("unique_buyers") - F.col("exact_buyers")) <= bound).alias("within_bound"))
+
+
+register("progress_alarm", with_ctes(om.PROGRESS_ALARM), "lag, age and slow-batch alarms over a progress table")(_progress_alarm)
+register("written_freshness", "SELECT CAST(3600 AS BIGINT) AS age_seconds, TRUE AS breached",
+         "M1 on processed_at of the written Silver")(_written_freshness)
+register("distinct_buyers", with_ctes(om.DISTINCT_BUYERS), "buyers of any grouping from stored sketches, error bounded")(
+    _distinct_buyers)
+
+
 # ---------------------------------------------------------------------------
 # Streaming: each run lands the raw payloads as text files (derived from the
 # events table by Spark), runs the query with an availableNow trigger into a

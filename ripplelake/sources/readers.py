@@ -111,4 +111,4 @@ def load_layer(spark: SparkSession, base: str, layer: str, subpath: str, run_dat
         if y not in df.columns:  # streamed tables are kept by window
             return df.filter(F.to_date("window_start") == F.lit(d))
         return df.filter((F.col(y) == d.year) & (F.col(m) == d.month) & (F.col(dd) == d.day))
-    raise ValueError(f"Unknown layer: {layer}")
+    raise ValueError(f"layer {layer!r} is neither silver nor gold")
