@@ -63,12 +63,12 @@ def land_bronze_json(payloads: DataFrame, path: str, payload_col: str = "raw_pay
     Blank lines are skipped.  By default malformed text is kept for audit
     and rejected later in Silver (``malformed_json``); ``skip_malformed``
     drops it at landing instead, as a consumer that discards undecodable
-    messages does.  One text file per task and partition day; no
-    driver-side buffering.
+    messages does.  Rows are dealt by day first, a large day in
+    parts, so a day gets few files; no driver-side buffering.
     """
     body = F.col(payload_col)
     kept = payloads.filter(body.isNotNull() & (F.trim(body) != ""))
     if skip_malformed:
         kept = kept.filter(F.get_json_object(body, "$").isNotNull())
-    (kept.select(body.alias("value"), *landing_partition(payload_col))
+    (kept.select(body.alias("value"), *landing_partition(payload_col)).hint("rebalance", "year", "month", "day")
          .write.mode("append").partitionBy("year", "month", "day").text(path))

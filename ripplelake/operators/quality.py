@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,14 +158,12 @@ def run_suite(df: DataFrame, suite: dict, run_date: str | None = None, by: str |
     pass.  ``mostly``: success when (evaluated - unexpected) / evaluated >=
     mostly; zero evaluated rows pass, but for the row count itself.
     """
-    name = suite["suite_name"]
     keys = [F.date_format(F.col(by), "yyyy-MM-dd").alias("run_date")] if by else []
     label = F.col("run_date") if by else F.lit(run_date).cast("string")
-    structs, aggs, unique_rules = [], [], []
+    structs, aggs = [], []
     for i, (etype, kw) in enumerate(suite["expectations"]):
         pair = _element_and_unexpected(etype, kw, df.columns)
         if pair is None:
-            unique_rules.append((i, etype, kw))
             aggs.append(F.count(F.col(kw["column"])).alias(f"_e{i}"))
             aggs.append(F.lit(None).cast("long").alias(f"_u{i}"))
         else:
@@ -176,16 +174,63 @@ def run_suite(df: DataFrame, suite: dict, run_date: str | None = None, by: str |
                                 F.col(f"_u{i}").cast("long").alias("unexpected_count")))
     base = df.groupBy(*keys).agg(*aggs) if by else df.agg(*aggs)
     long = base.select(label.alias("run_date"), F.explode(F.array(*structs)).alias("r")).select("run_date", "r.*")
-    for i, etype, kw in unique_rules:
+    for rows in _repeated_values(df, suite, label, keys, by):
+        long = long.unionByName(rows)
+    return _judged(long, suite)
+
+
+def _repeated_values(df: DataFrame, suite: dict, label: Column, keys: list[Column], by: str | None) -> list[DataFrame]:
+    """One frame per uniqueness rule with the rows of values that occur more than once."""
+    found = []
+    for i, (etype, kw) in enumerate(suite["expectations"]):
+        if etype != "expect_column_values_to_be_unique" or kw["column"] not in df.columns:
+            continue
         c = kw["column"]
         grp_keys = ([F.col(by)] if by else []) + [F.col(c)]
         per_value = df.filter(F.col(c).isNotNull()).groupBy(*grp_keys).agg(F.count(F.lit(1)).alias("_n"))
         dup_rows = F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("long")
         u = (per_value.groupBy(*keys).agg(dup_rows.alias("unexpected_count")) if by
              else per_value.agg(dup_rows.alias("unexpected_count")))
-        long = long.unionByName(u.select(
+        found.append(u.select(
             label.alias("run_date"), F.lit(i).alias("expectation_index"), F.lit(etype).alias("expectation_type"),
             F.lit(c).alias("column"), F.lit(None).cast("long").alias("element_count"), "unexpected_count"))
+    return found
+
+
+def observe_suite(df: DataFrame, suite: dict) -> tuple[DataFrame, Callable[[DataFrame, str | None], DataFrame]]:
+    """E8 at write time: the frame with the suite's one-pass rules observed, and a
+    function that gives the results once the frame has been written.
+
+    The write's own pass counts what the rules need; the function reads only
+    the columns with uniqueness rules of the written table.  Results equal
+    ``run_suite`` over that table.
+    """
+    obs, seen, fixed = Observation(suite["suite_name"]), {}, {}
+    for i, (etype, kw) in enumerate(suite["expectations"]):
+        column = kw.get("column")
+        if etype == "expect_column_to_exist" or (column and column not in df.columns):
+            fixed[i] = (1, 0 if column in df.columns else 1)
+        elif etype == "expect_column_values_to_be_unique":
+            seen[f"_e{i}"] = F.count(F.col(column))
+        else:
+            seen[f"_e{i}"], seen[f"_u{i}"] = _element_and_unexpected(etype, kw, df.columns)
+
+    def results(written: DataFrame, run_date: str | None = None) -> DataFrame:
+        got = obs.get if seen else {}
+        rows = [(run_date, i, etype, kw.get("column"), *fixed.get(i, (got.get(f"_e{i}"), got.get(f"_u{i}"))))
+                for i, (etype, kw) in enumerate(suite["expectations"])]
+        long = written.sparkSession.createDataFrame(
+            rows, "run_date string, expectation_index int, expectation_type string, column string, "
+                  "element_count long, unexpected_count long")
+        for repeated in _repeated_values(written, suite, F.lit(run_date).cast("string"), [], None):
+            long = long.unionByName(repeated)
+        return _judged(long, suite)
+
+    return (df.observe(obs, *[c.alias(n) for n, c in seen.items()]) if seen else df), results
+
+
+def _judged(long: DataFrame, suite: dict) -> DataFrame:
+    """A result row per expectation from its parts."""
     merged = (long.groupBy("run_date", "expectation_index", "expectation_type", "column")
                   .agg(F.sum("element_count").alias("element_count"),
                        F.coalesce(F.sum("unexpected_count"), F.lit(0)).cast("long").alias("unexpected_count")))
@@ -196,7 +241,7 @@ def run_suite(df: DataFrame, suite: dict, run_date: str | None = None, by: str |
     ok = ((F.col("element_count") == 0) & (F.col("unexpected_count") == 0)) | (
         (F.col("element_count") - F.col("unexpected_count")).cast("double")
         >= mostly * F.col("element_count").cast("double"))
-    return merged.select(F.lit(name).alias("suite"), "run_date", "expectation_index", "expectation_type",
+    return merged.select(F.lit(suite["suite_name"]).alias("suite"), "run_date", "expectation_index", "expectation_type",
                          "column", "element_count", "unexpected_count", ok.alias("success"))
 
 
@@ -218,12 +263,15 @@ def suite_summary(results: DataFrame) -> DataFrame:
 def validate_layers(spark: SparkSession, run_date: str | None,
                     silver_loader: Callable[[], DataFrame] | None = None,
                     gold_loader: Callable[[], DataFrame] | None = None,
-                    layer: str = "all", by: str | None = None, base: str | None = None) -> DataFrame:
+                    layer: str = "all", by: str | None = None, base: str | None = None,
+                    expected_days: list[str] | None = None) -> DataFrame:
     """Run the Silver and/or Gold sales suite, over ``base``'s tables of
     ``run_date`` where no loader is given.  Errors while loading or reading count as a
     failed suite, and a table without rows gets its row of results also with
     ``by``.  Adds ``overall_passed`` over all returned rows.
 
+    With ``by``, a day of ``expected_days`` that the table lacks is a failed suite of its own.
+
     Suites run here: one row per suite (and day with ``by``) reaches the driver."""
     if layer not in ("silver", "gold", "all"):
         raise ValueError(f"layer {layer!r} is neither silver nor gold")
@@ -245,6 +293,9 @@ def validate_layers(spark: SparkSession, run_date: str | None,
             rows = suite_summary(run_suite(df, suite, run_date, by=key)).collect()
             rows = rows or suite_summary(run_suite(df, suite, run_date)).collect()
             found += [(*[r[c] for c in _SUMMARY_SCHEMA.fieldNames()[:-1]], None) for r in rows]
+            if key:
+                found += [(suite["suite_name"], day, False, 0, 0, "", 0.0, "no rows for this day")
+                          for day in sorted(set(expected_days or ()) - {r["run_date"] for r in rows})]
         except Exception as exc:  # noqa: BLE001 -- a load error is a failed suite
             found.append((suite["suite_name"], None if run_date is None else str(run_date), False, 0, 0, "", 0.0,
                           f"{type(exc).__name__}: {exc}"))

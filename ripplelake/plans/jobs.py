@@ -178,10 +178,14 @@ def other_runs(spark: SparkSession, path: str, days: set[datetime.date], prefix:
     return rows.filter(~F.col("_metadata.file_name").startswith(prefix)).select(*SILVER_SCHEMA.names)
 
 
-def run_daily(spark: SparkSession, base: str, run_date=None, gate: bool = True,
+YESTERDAY = "yesterday"
+
+
+def run_daily(spark: SparkSession, base: str, run_date=YESTERDAY, gate: bool = True,
               refresh_table: str | None = None) -> DataFrame:
     """Cohort-variant Gold (D2, D4, D6) and the DQ report (E0) for one
-    day, or for every day in Silver when ``run_date`` is None (backfill).
+    day, yesterday (UTC) unless said otherwise, or for every day in Silver when
+    ``run_date`` is None (backfill).
 
     Every plan reads the partition-pruned Silver; an empty day writes a
     NO_DATA report.  The gate (E11) runs on the
@@ -189,6 +193,8 @@ def run_daily(spark: SparkSession, base: str, run_date=None, gate: bool = True,
     Returns the DQ report read back from storage.
     """
     ensure_utc(spark)
+    if run_date == YESTERDAY:
+        run_date = datetime.datetime.now(datetime.timezone.utc).date() - datetime.timedelta(days=1)
     p = lake(base)
     # No cache: each plan re-reads only its columns of the pruned partition,
     # which at production size is cheaper than holding a day in executors.

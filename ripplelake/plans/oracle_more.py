@@ -197,6 +197,7 @@ SALES_COLUMNS = ["window_start", "window_end", "country", "category", "total_rev
                  "total_units_sold", "avg_order_value", "unique_buyers", "updated_at"]
 
 SILVER_SUITE_SQL = suite_results_sql(SILVER_SUITE, "silver_events", "event_date", SILVER_COLUMNS)
+SILVER_SUITE_WHOLE_SQL = suite_results_sql(SILVER_SUITE, "silver_events", None, SILVER_COLUMNS)
 GOLD_SUITE_SQL = suite_results_sql(GOLD_SALES_SUITE, "gold_sales_metrics", None, SALES_COLUMNS)
 
 

@@ -421,6 +421,70 @@ def _pruned_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("partition_pruned_load", with_ctes(om.SEGMENTS_ONE_DAY),
          "one Silver partition loaded by partition filter -> user segments")(_pruned_load)
+
+
+def _layer_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..fixtures import FIXTURE_RUN_DATE
+    from ..sources import readers
+    base, _ = _medallion_base(spark, sf_dir)
+    return comparable(readers.load_layer(spark, base, "gold", "top_products", FIXTURE_RUN_DATE))
+
+
+def _silver_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..fixtures import FIXTURE_RUN_DATE
+    from ..sources import readers
+    base, _ = _medallion_base(spark, sf_dir)
+    return comparable(readers.load_silver_partition(spark, f"{base}/silver/cleaned_events", FIXTURE_RUN_DATE))
+
+
+def _catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the catalog's Bronze and streamed sales tables, read by name."""
+    import uuid
+    from ..operators.bronze import bronze_envelope, to_payload
+    from ..session import scratch_path
+    from ..sources import catalog
+    base, prefix, t = scratch_path(spark, "lake"), f"t{uuid.uuid4().hex[:8]}_", _tables(spark, sf_dir)
+    bronze_envelope(to_payload(t.raw_events)).write.partitionBy("ingest_year", "ingest_month", "ingest_day").parquet(
+        f"{base}/bronze/raw_events")
+    t.gold_sales_metrics.write.parquet(f"{base}/gold/sales_metrics")
+    catalog.create_tables(spark, base, prefix)
+    catalog.refresh_partitions(spark, prefix + "bronze_events")
+    rows = [spark.table(prefix + n).agg(F.count(F.lit(1)).alias("n")).first()["n"] for n in ("bronze_events", "gold_sales_metrics")]
+    revenue = spark.table(prefix + "gold_sales_metrics").agg(
+        F.lit(rows[0]).alias("bronze_rows"), F.lit(rows[1]).alias("sales_rows"), F.sum("total_orders").alias("orders"))
+    found = spark.createDataFrame(revenue.collect(), revenue.schema)  # one row, kept when the tables go
+    catalog.drop_tables(spark, prefix)
+    return found
+
+
+def _global_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of all days ranked by units viewed, without one task seeing all."""
+    products = _tables(spark, sf_dir).gold_top_products.select("report_date", "product_id", "product_views")
+    ranked = gold.global_rank(products, "product_views")
+    return gold.global_rank(ranked, "product_views", name="dense", dense=True)
+
+
+def _observed_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver suite from the Silver write's own pass."""
+    from ..session import scratch_path
+    from ..sources import sinks
+    path = scratch_path(spark, "observed")
+    observed, results = quality.observe_suite(_tables(spark, sf_dir).silver_events, quality.SILVER_SUITE)
+    sinks.write_silver(observed, path)
+    return results(spark.read.parquet(path))
+
+
+register("observed_suite", with_ctes(f"SELECT DISTINCT * FROM ({om.SILVER_SUITE_WHOLE_SQL}) r"), "Silver suite observed while Silver is written")(_observed_suite)
+register("layer_load", with_ctes("SELECT * FROM @gold_top_products WHERE report_date = '2024-01-15'"),
+         "one day of a Gold table by the layer loader")(_layer_load)
+register("silver_partition_load", with_ctes("SELECT * FROM @silver_events WHERE event_date = DATE '2024-01-15'"),
+         "one Silver day by the partition loader")(_silver_partition)
+register("catalog_tables", with_ctes("SELECT (SELECT COUNT(*) FROM @raw_events) AS bronze_rows, COUNT(*) AS sales_rows, "
+                                     "CAST(SUM(total_orders) AS BIGINT) AS orders FROM @gold_sales_metrics"),
+         "Bronze and streamed sales read through the catalog")(_catalog_tables)
+register("global_rank", with_ctes("SELECT report_date, product_id, product_views, RANK() OVER (ORDER BY product_views DESC) AS rank, "
+                                  "DENSE_RANK() OVER (ORDER BY product_views DESC) AS dense FROM @gold_top_products"),
+         "rank over a whole frame by ranges")(_global_rank)
 register("dedup_events", with_ctes(om.DEDUP_EVENTS), "one row per event id (earliest event)")(
     lambda spark, d: comparable(silver.dedup_events(_tables(spark, d).silver_events)))
 

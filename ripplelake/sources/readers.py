@@ -25,6 +25,10 @@ _RECORD_COLUMNS = {"value": "data", "key": "partitionKey", "offset": "sequenceNu
                    "timestamp": "approximateArrivalTimestamp"}
 
 
+#: Records of a micro-batch from a log connector: 10,000 a fetch, for a hundred shards.
+MAX_RECORDS = 1_000_000
+
+
 def normalize_records(df: DataFrame) -> DataFrame:
     """Rename connector columns (log/queue or text file) to ``data``,
     ``partitionKey``, ``sequenceNumber``, ``approximateArrivalTimestamp``."""
@@ -43,7 +47,7 @@ def read_event_stream(spark: SparkSession, source: str, fmt: str = "text",
     is a folder and ``maxFilesPerTrigger`` caps each micro-batch; for a log
     connector (``fmt="kafka"``) ``source`` is the topic, reading starts at the
     latest offsets unless ``options`` say otherwise, and
-    ``max_records_per_trigger`` caps each micro-batch.  Columns are
+    ``max_records_per_trigger`` (MAX_RECORDS unless given) caps each micro-batch.  Columns are
     normalized for the Bronze envelope (``normalize_records``).
     """
     opts = dict(options or {})
@@ -51,8 +55,7 @@ def read_event_stream(spark: SparkSession, source: str, fmt: str = "text",
     if fmt == "kafka":
         opts.setdefault("subscribe", source)
         opts.setdefault("startingOffsets", "latest")
-        if max_records_per_trigger:
-            opts.setdefault("maxOffsetsPerTrigger", str(max_records_per_trigger))
+        opts.setdefault("maxOffsetsPerTrigger", str(max_records_per_trigger or MAX_RECORDS))
         df = reader.options(**opts).load()
     else:
         if max_files_per_trigger:
@@ -61,14 +64,19 @@ def read_event_stream(spark: SparkSession, source: str, fmt: str = "text",
     return normalize_records(df)
 
 
-def read_bronze(spark: SparkSession, path: str, run_date=None, skip_malformed: bool = False) -> DataFrame:
+#: Names of Bronze files: JSON lines, as the text writer or a producer names them.
+BRONZE_FILES = "*.{json,ndjson,txt}"
+
+
+def read_bronze(spark: SparkSession, path: str, run_date=None, skip_malformed: bool = False,
+                files: str = BRONZE_FILES) -> DataFrame:
     """A3: Bronze NDJSON (``year=/month=/day=`` dirs) parsed to raw events.
 
-    Blank lines are skipped.  Malformed lines are kept with ``_corrupt`` set
+    Only files whose names match ``files`` are read.  Blank lines are skipped.  Malformed lines are kept with ``_corrupt`` set
     so the Silver step rejects them as ``malformed_json`` (auditable), or
     dropped here with ``skip_malformed``.
     """
-    df = spark.read.text(path)
+    df = spark.read.option("pathGlobFilter", files).text(path)
     if run_date is not None:
         d = as_date(run_date)
         df = df.filter((F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day))

@@ -1,5 +1,6 @@
 """Gold roll-ups on the 4-row sample, segment boundaries, conversion rate."""
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import make_event, raw_frame
@@ -104,3 +105,22 @@ def test_many_views_low_conversion(spark):
         "conversion_rate double, revenue double")
     got = analytics.run_query(spark, "q03", {"gold_top_products": products}).collect()
     assert [(r["product_name"], r["conversion_pct"]) for r in got] == [("most", 0.0), ("enough", 9.0), ("tie", 5.0)]
+
+
+def test_global_rank_by_ranges(spark):
+    """Equal to the plain window, ties across ranges and NULL included, without a single task for all rows."""
+    import random
+    r = random.Random(4)
+    df = spark.createDataFrame([(i, r.choice([None, 1, 1, 1, 2, 5, i])) for i in range(500)], "id long, v long").repartition(6)
+    w = Window.orderBy(F.desc("v"))
+    want = {(x["id"], x["rank"], x["dense"]) for x in df.withColumn("rank", F.rank().over(w)).withColumn(
+        "dense", F.dense_rank().over(w)).collect()}
+    got = gold.global_rank(gold.global_rank(df, "v"), "v", name="dense", dense=True)
+    assert {(x["id"], x["rank"], x["dense"]) for x in got.collect()} == want
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    order = [F.desc_nulls_last("v"), F.asc("id")]
+    placed = gold.position(df, order)
+    assert "SinglePartition" not in placed._jdf.queryExecution().executedPlan().toString()
+    assert {(x["id"], x["position"]) for x in placed.collect()} == {
+        (x["id"], x["position"]) for x in df.withColumn("position", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert gold.global_rank(df.limit(0), "v").count() == gold.position(df.limit(0), order).count() == 0

@@ -1,6 +1,7 @@
 """Data-quality semantics: DQ report, suites (mostly, unique), layers, gate."""
 import pytest
-from conftest import make_event, raw_frame
+from conftest import SF, make_event, raw_frame
+from pyspark.sql import functions as F
 
 from ripplelake.operators import quality
 from ripplelake.operators.silver import raw_to_silver
@@ -90,3 +91,30 @@ def test_validate_layers_loads_by_date(spark, silver):
     got = {r["suite"]: r for r in quality.validate_layers(spark, "2026-03-18", base=base).collect()}
     assert got["gold_sales_suite"]["error"] is None and got["gold_sales_suite"]["passed"]
     assert got["silver_events_suite"]["error"] is None and not got["silver_events_suite"]["passed"]
+
+
+def test_observed_suite_equals_run_suite(spark):
+    from ripplelake.operators import quality
+    from ripplelake.plans.tables import PipelineTables
+    from ripplelake.session import scratch_path
+    from ripplelake.sources import sinks
+    silver = PipelineTables(spark, SF["0.001"]).silver_events
+    silver = silver.unionByName(silver.limit(3)).withColumn("price", F.when(F.col("event_hour") != 3, F.col("price")))
+    for df, suite in [(silver, quality.SILVER_SUITE),
+                      (silver.drop("country"), quality.SILVER_SUITE | {"expectations": quality.SILVER_SUITE["expectations"][:4]})]:
+        path = scratch_path(spark, "observed")
+        observed, results = quality.observe_suite(df, suite)
+        sinks.write_silver(observed, path)
+        written = spark.read.parquet(path)
+        assert sorted(map(tuple, results(written).collect()), key=str) == sorted(
+            map(tuple, quality.run_suite(written, suite).collect()), key=str)
+
+
+def test_missing_day_fails(spark):
+    from ripplelake.operators import quality
+    from ripplelake.plans.tables import PipelineTables
+    silver = PipelineTables(spark, SF["0.001"]).silver_events.filter("event_day <> 16")
+    got = quality.validate_layers(spark, None, lambda: silver, layer="silver", by="event_date",
+                                  expected_days=["2024-01-15", "2024-01-16"]).collect()
+    missing = [r for r in got if r["error"]]
+    assert [(r["run_date"], r["passed"]) for r in missing] == [("2024-01-16", False)] and not got[0]["overall_passed"]
