@@ -9,8 +9,10 @@ and totals are the sum over committed batches.  A store has two tables:
 
 A batch counts from the moment its commit row exists, with the least of its
 attempts; a repeated or half-written commit changes nothing.  ``compact``
-writes the sum of all committed batches as one attempt whose ``covers`` names
-them; the rows it replaces stay and are no longer read.
+reads the commits once, writes the sum of the batches in them as one attempt
+and names just these in its ``covers``, so a batch that commits meanwhile is counted
+beside it.  ``deltas`` is partitioned by attempt: reading a store opens the attempts
+that count, and those a compaction replaced stay unread.
 
 Scale: sums are partial in every task, so a hot source is one row a task; what
 is stored and read follows groups and batches, not documents.
@@ -59,8 +61,8 @@ def create(spark: SparkSession, store: str) -> str:
 
 def _write(deltas: DataFrame, store: str, batch: str | None, covers: list[str]) -> None:
     spark, attempt = deltas.sparkSession, uuid.uuid4().hex
-    deltas.select(F.lit(attempt).alias("attempt"), *GROUP, "n_docs", "n_tokens").write.mode("append").parquet(
-        f"{store}/deltas")
+    (deltas.select(F.lit(attempt).alias("attempt"), *GROUP, "n_docs", "n_tokens").write.mode("append")
+     .partitionBy("attempt").parquet(f"{store}/deltas"))
     spark.createDataFrame([(batch, attempt, covers)], COMMITS).write.mode("append").parquet(f"{store}/commits")
 
 
@@ -73,9 +75,8 @@ def commit(changes: DataFrame, store: str, batch: str) -> bool:
     return True
 
 
-def _active(spark: SparkSession, store: str) -> DataFrame:
+def _active(commits: DataFrame) -> DataFrame:
     """(attempt, batch) to sum: the widest compaction and the batches it doesn't cover."""
-    commits = _read(spark, store, "commits", COMMITS)
     base = (commits.filter("batch is null").orderBy(F.size("covers").desc(), "attempt").limit(1)
             .select("attempt", "covers"))
     batches = commits.filter("batch is not null").groupBy("batch").agg(F.min("attempt").alias("attempt"))
@@ -86,17 +87,22 @@ def _active(spark: SparkSession, store: str) -> DataFrame:
 
 def totals(spark: SparkSession, store: str) -> DataFrame:
     """source, lang, version, n_docs and n_tokens of all committed batches."""
-    deltas = _read(spark, store, "deltas", DELTAS).join(_active(spark, store).select("attempt"), "attempt")
+    return _totals(spark, store, _read(spark, store, "commits", COMMITS))
+
+
+def _totals(spark: SparkSession, store: str, commits: DataFrame) -> DataFrame:
+    live = [r["attempt"] for r in _active(commits).select("attempt").collect()]  # batches since the last compaction
+    deltas = _read(spark, store, "deltas", DELTAS).filter(F.col("attempt").isin(live))
     return (deltas.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
             .filter("n_docs <> 0 or n_tokens <> 0"))
 
 
 def compact(spark: SparkSession, store: str) -> None:
-    """Fold all committed batches into one attempt."""
-    commits = _read(spark, store, "commits", COMMITS)
+    """Fold the batches that are committed now into one attempt."""
+    commits = cut(_read(spark, store, "commits", COMMITS), "commits")  # one reading decides sums and names
     names = [r[0] for r in commits.select("batch").union(commits.select(F.explode("covers")))
              .filter("batch is not null").distinct().collect()]  # names of batches
-    _write(cut(totals(spark, store), "compacted"), store, None, sorted(names))
+    _write(cut(_totals(spark, store, commits), "compacted"), store, None, sorted(names))
 
 
 def document_counts(docs: DataFrame) -> DataFrame:

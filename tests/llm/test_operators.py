@@ -568,3 +568,33 @@ def test_warc_files_read_back(spark):
     assert f"source-payload-digest: sha256:{hashlib.sha256(html.encode()).hexdigest()}" in meta
     assert "outlink: /x" in meta and "language: fr" in meta and "source-header: HTTP/1.1 200 OK" in meta
     assert warc.derivatives(warc.responses(pages.limit(0)), ["page_id"]).count() == 0
+
+
+def test_compaction_beside_a_commit(spark, monkeypatch):
+    """A batch that commits while a compaction runs counts once."""
+    store = token_counts.create(spark, scratch_path(spark, "race"))
+
+    def feed(tokens):
+        return spark.createDataFrame([("insert", "a", "en", "v", tokens, None)],
+                                     "op string, source string, lang string, version string, tokens long, old_tokens long")
+
+    def total():
+        return [(r.n_docs, r.n_tokens) for r in token_counts.totals(spark, store).collect()]
+
+    token_counts.commit(feed(10), store, "1")
+    kept = token_counts.cut
+    for number, name in enumerate(("commits", "compacted"), 2):  # after the reading, and after the sums
+        def beside(df, at, *rest, name=name, number=number):
+            out = kept(df, at, *rest)
+            if at == name:
+                token_counts.commit(feed(5), store, str(number))
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(token_counts, "cut", beside)
+            token_counts.compact(spark, store)
+        assert total() == [(number, 5 + 5 * number)]
+    token_counts.compact(spark, store)
+    assert total() == [(3, 20)]
+    plan = token_counts.totals(spark, store)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [attempt" in plan or "PartitionFilters: [isnotnull(attempt" in plan
