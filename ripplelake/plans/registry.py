@@ -239,7 +239,7 @@ register("distinct_buyers", with_ctes(om.DISTINCT_BUYERS), "buyers of any groupi
 # events table by Spark), runs the query with an availableNow trigger into a
 # fresh folder under the shared checkpoint dir, and reads the sink back.
 # ---------------------------------------------------------------------------
-def run_stream_once(spark: SparkSession, sf_dir: str, query: str) -> str:
+def run_stream_once(spark: SparkSession, sf_dir: str, query: str, **options) -> str:
     from ..operators.bronze import to_payload
     from ..session import scratch_path
     from ..streaming.pipeline import run_streaming_pipeline
@@ -247,7 +247,7 @@ def run_stream_once(spark: SparkSession, sf_dir: str, query: str) -> str:
     src = scratch_path(spark, "stream-src")
     to_payload(_tables(spark, sf_dir).raw_events).write.text(src)
     base, ck = scratch_path(spark, "stream-lake"), scratch_path(spark, "stream-ck")
-    run_streaming_pipeline(spark, src, base, ck, available_now=True, only=[query]).await_all()
+    run_streaming_pipeline(spark, src, base, ck, available_now=True, only=[query], **options).await_all()
     return base
 
 
@@ -296,6 +296,37 @@ def _stream_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_joined(spark.read.parquet(f"{base}/gold/user_metrics"), "event_types_seen"))
 
 
+def _stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver streamed in two halves: compacted after the first, so half of the rows are late
+    for compacted days, compacted again, and read with the last day not yet compacted."""
+    from ..operators.bronze import to_payload
+    from ..session import scratch_path
+    from ..sources import compaction
+    from ..streaming.pipeline import lake_paths, run_streaming_pipeline
+
+    src, base, ck = (scratch_path(spark, f"compact-{x}") for x in ("src", "lake", "ck"))
+    payload = to_payload(_tables(spark, sf_dir).raw_events)
+    newest = _tables(spark, sf_dir).silver_events.agg(F.max("event_date")).first()[0]
+    table, schema = lake_paths(base, ck)["silver"][0], silver.SILVER_SCHEMA
+    for half in (0, 1):
+        payload.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == half).write.mode("append").text(src)
+        run_streaming_pipeline(spark, src, base, ck, available_now=True, only=["silver"]).await_all()
+        compaction.compact(spark, table, schema, compaction.SILVER_DAY, newest)
+    return comparable(compaction.read(spark, table, schema))
+
+
+register("stream_compacted", with_ctes("SELECT * FROM @silver_events"), "streamed Silver after two compactions")(
+    _stream_compacted)
+
+
+def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of streamed Silver that keeps one row per event id, with their rows (1)."""
+    base = run_stream_once(spark, sf_dir, "silver", deduplicate=True)
+    return spark.read.parquet(f"{base}/silver/stream_events").groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+register("stream_dedup", with_ctes("SELECT DISTINCT event_id, CAST(1 AS BIGINT) AS n FROM @silver_events"),
+         "stream deduplicated within the watermark")(_stream_dedup)
 register("stream_user_metrics", with_ctes(om.STREAM_USERS), "streaming hourly users (closed windows)")(
     _stream_users)
 

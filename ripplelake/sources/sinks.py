@@ -25,14 +25,18 @@ def _trigger(writer, trigger: str | None, available_now: bool):
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
                  name: str | None = None, trigger: str | None = None,
-                 available_now: bool = False) -> StreamingQuery:
+                 available_now: bool = False, retention: str | None = None) -> StreamingQuery:
     """K1-K3: append a stream to Parquet with its own checkpoint.
 
     Parquet sinks accept append mode only; windowed aggregates therefore rely
-    on the watermark to emit each window once, when it closes.
+    on the watermark to emit each window once, when it closes.  ``retention``
+    (e.g. ``"30d"``): the sink's log forgets files older than that; only for
+    tables that ``compaction.compact`` covers, and downstream streams read, sooner.
     """
     w = (df.writeStream.format("parquet").outputMode("append")
            .option("path", path).option("checkpointLocation", checkpoint))
+    if retention:
+        w = w.option("retention", retention)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if name:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.bronze import bronze_envelope
-from ..operators.silver import REASON, parse_events, rejected_records, tag_records, to_silver
+from ..operators.silver import REASON, dedup_stream, parse_events, rejected_records, tag_records, to_silver
 from ..schemas import BRONZE_SCHEMA, SILVER_SCHEMA, WATERMARK_DELAY
 from ..session import ensure_utc
 from ..sources.readers import read_event_stream
@@ -143,12 +143,15 @@ def run_streaming_pipeline(spark: SparkSession, source: str, base: str, checkpoi
                            fmt: str = "text", options: dict | None = None,
                            available_now: bool = False, max_files_per_trigger: int | None = MAX_FILES,
                            max_records_per_trigger: int | None = None,
-                           trigger: str | None = None, only: list[str] | None = None) -> StreamingPipeline:
+                           trigger: str | None = None, only: list[str] | None = None,
+                           deduplicate: bool = False) -> StreamingPipeline:
     """Start the chained queries (products too) and return them.
 
     ``only`` selects queries; their upstream queries are included.  With
     ``available_now`` the stages run one after another (each drains what its
     upstream committed); otherwise all queries run concurrently.
+    ``deduplicate``: Silver keeps one row per event id within the watermark; choose it
+    at the first start, since the checkpoint holds its state.
     """
     ensure_utc(spark)
     paths = lake_paths(base, checkpoints)
@@ -162,12 +165,16 @@ def run_streaming_pipeline(spark: SparkSession, source: str, base: str, checkpoi
         return (stream_table(spark, paths["silver"][0], SILVER_SCHEMA, max_files_per_trigger)
                 .withWatermark("event_timestamp", WATERMARK_DELAY))
 
+    def silver_rows() -> DataFrame:
+        if deduplicate:
+            return dedup_stream(silver_stream(bronze_table()))
+        return silver_stream(bronze_table(), watermark=None)
+
     builders = {
         "bronze": lambda: write_bronze_stream(
             bronze_envelope(read_event_stream(spark, source, fmt, options, max_files_per_trigger, max_records_per_trigger)),
             *paths["bronze"], name="bronze", **kw),
-        "silver": lambda: write_silver_stream(silver_stream(bronze_table(), watermark=None),
-                                              *paths["silver"], name="silver", **kw),
+        "silver": lambda: write_silver_stream(silver_rows(), *paths["silver"], name="silver", **kw),
         "rejected": lambda: _write_json_stream(rejected_stream(bronze_table()), *paths["rejected"], **kw),
         "gold-sales": lambda: write_gold_stream(metrics.sales_metrics(silver_table()),
                                                 *paths["gold-sales"], "gold-sales", **kw),
