@@ -7,10 +7,15 @@ is missing.  A pair's level is never read above its words' (a pair is no more
 frequent than its parts), which also stops false positives.  Token
 probabilities are Dirichlet-smoothed from those counts,
 
-    p(w | h) = (c(h w) + MU p(w)) / (c(h) + MU),   p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).
+    p(w | h) = (c(h w) + MU p(w)) / (c(h) + MU),   p(w) = (c(w) + 0.1) / (M + 0.1 (V + 1)),
 
-The base score needs exact word counts, which are kept beside the filter as
-sorted 64-bit word hashes and counts.
+where all c are counts that levels stand for and M is their sum over the V words, so that
+p(w) sums to 1 over the words and one unknown word.  The base score needs exact
+word counts, which are kept beside the filter as sorted 64-bit word hashes and
+counts; they also correct words' levels that a false positive raised, so only pairs' levels
+(and the start context's) can be read too high: a pair of known words that never occurs
+is read as seen in about 2.4 of 100 probes, which lets p(. | h) sum to
+more than 1 by what those pairs hold.
 
 Scale: tasks count n-grams of about a million tokens at a time, so a frequent
 n-gram is one entry a task and chunk; entries are dealt by hash into
@@ -113,6 +118,7 @@ class Model:
     segments: int
     tokens: int  # N
     distinct: int  # V
+    mass: float  # M
     filter_mb: float
     words_mb: float
 
@@ -178,20 +184,22 @@ def train(docs: DataFrame) -> Model:
                          "filter": [np.packbits(table, bitorder="little").tobytes()],
                          "words": [keys[0][words].tobytes()],
                          "counts": [counts[0][words].astype(np.uint32 if wide < 1 << 32 else np.uint64).tobytes()],
-                         "n_words": [int(words.sum())], "n_tokens": [int(counts[0][words].sum())]},
+                         "n_words": [int(words.sum())], "n_tokens": [int(counts[0][words].sum())],
+                         "mass": [float(COUNT_OF_LEVEL[levels_of(counts[0][words])].sum())]},
                         pa.schema([("segment", pa.int32()), ("bits", pa.int64()), ("filter", pa.binary()),
                                    ("words", pa.binary()), ("counts", pa.binary()), ("n_words", pa.int64()),
-                                   ("n_tokens", pa.int64())]))
+                                   ("n_tokens", pa.int64()), ("mass", pa.float64())]))
 
     texts = docs.filter(fold(F.col("doc_id"), FOLDS, 1) != 0).select("text")
     counted = texts.mapInArrow(count, "segment int, order int, keys binary, counts binary")
     built = counted.groupBy("segment").applyInArrow(
-        build, "segment int, bits long, filter binary, words binary, counts binary, n_words long, n_tokens long")
+        build, "segment int, bits long, filter binary, words binary, counts binary, n_words long, n_tokens long, "
+               "mass double")
     table = cut(built, "language-model", TEXTS)
     total = table.agg(F.sum("n_tokens"), F.sum("n_words"), F.sum(F.length("filter")),
-                      F.sum(F.length("words") + F.length("counts"))).first()
-    n, v, f, w = (int(x or 0) for x in total)
-    return Model(table, segments, n, v, f / 1e6, w / 1e6)
+                      F.sum(F.length("words") + F.length("counts")), F.sum(F.col("mass").cast("decimal(38,1)"))).first()
+    n, v, f, w = (int(x or 0) for x in total[:4])
+    return Model(table, segments, n, v, float(total[4] or 0), f / 1e6, w / 1e6)
 
 
 class Part:
@@ -214,6 +222,12 @@ class Part:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, self.counts[at].astype(np.int64), 0)
 
+    def word_levels(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact counts of words and their levels, false positives put right; the start context has a level only."""
+        exact, read = self.exact(words), self.levels(words)
+        right = np.where(exact > 0, np.minimum(read, levels_of(exact)), 0)
+        return exact, np.where(words == START, read, right)
+
     def levels(self, keys: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
         """Levels read by repeated probes; 0 for keys of other parts."""
         segment = (keys >> self.shift).astype(np.int64)
@@ -257,7 +271,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark, segments, total, distinct = docs.sparkSession, model.segments, model.tokens, model.distinct
     kind = dict(docs.dtypes)["doc_id"]
-    floor = total + ADD * (distinct + 1)
+    floor, mass = total + ADD * (distinct + 1), model.mass + ADD * (distinct + 1)
 
     def token_arrays(texts: list[bytes | None], hashes: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         each = [hashes(t) for t in texts]
@@ -270,17 +284,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def read(part: Part, words: np.ndarray, before: np.ndarray, most: np.ndarray | None) -> list[np.ndarray]:
         """Per token: exact count, level of the word, of its context, of the pair."""
         singles, back = np.unique(np.concatenate([words, before]), return_inverse=True)
-        level = part.levels(singles)
+        exact, level = part.word_levels(singles)
         w, h = back[:len(words)], back[len(words):]
         if most is None:
             most = np.minimum(level[w], level[h])
         pairs, first, at = np.unique(_pair(before, words), return_index=True, return_inverse=True)
-        return [part.exact(singles)[w], level[w], level[h], part.levels(pairs, most[first])[at]]
+        return [exact[w], level[w], level[h], part.levels(pairs, most[first])[at]]
 
     def totals(exact, word, context, pair, size) -> list[np.ndarray]:
         at = np.cumsum(size) - size
         c_word, c_context, c_pair = (COUNT_OF_LEVEL[x] for x in (word, context, pair))
-        single = (c_word + ADD) / floor
+        single = (c_word + ADD) / mass
         c_pair = np.minimum(np.minimum(c_pair, c_context), c_word)
         p = (c_pair + MU * np.minimum(single, 1)) / (c_context + MU)
         if not len(size):

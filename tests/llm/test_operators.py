@@ -443,6 +443,56 @@ def test_filter_levels_never_fall_short(docs):
     assert (levels == lm_scoring.levels_of(part.counts)).mean() > 0.9
 
 
+def test_word_probabilities_sum_to_one(docs):
+    model = lm_scoring.train(docs)
+    part = lm_scoring.Part(lm_scoring._collected(model, None), model.segments)
+    exact, levels = part.word_levels(np.append(part.words, np.uint64(12345)))  # the last is unknown
+    assert (levels[:-1] == lm_scoring.levels_of(part.counts)).all() and levels[-1] == exact[-1] == 0
+    held = lm_scoring.COUNT_OF_LEVEL[levels] + lm_scoring.ADD
+    assert held.sum() / (model.mass + lm_scoring.ADD * (model.distinct + 1)) == pytest.approx(1, abs=1e-12)
+
+
+def test_score_against_brute_force(docs, rows):
+    """Scores from counts in dictionaries; the filter may only read a pair's level too high."""
+    def tokens(text):
+        return [w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")] + [None]
+
+    texts = [(r[0] is not None and zlib.crc32(str(r[0]).encode()) % 10 == 0, tokens(r[1])) for r in rows]
+    words, contexts, pairs = Counter(), Counter(), Counter()
+    for held_out, t in texts:
+        if not held_out:
+            words.update(t)
+            contexts.update(["<start>", *t[:-1]])
+            pairs.update(zip(["<start>", *t[:-1]], t))
+
+    def shown(n):
+        if not n:
+            return 0.0
+        fits = [c for c in range(1, 3 * n + 3) if lm_scoring.levels_of(np.array([c]))[0] == lm_scoring.levels_of(np.array([n]))[0]]
+        return (fits[0] + fits[-1]) / 2
+
+    value = {n: shown(n) for n in {0, *words.values(), *contexts.values(), *pairs.values()}}
+    mass = sum(value[n] for n in words.values()) + 0.1 * (len(words) + 1)
+
+    def want(t):
+        total = 0.0
+        for h, w in zip(["<start>", *t[:-1]], t):
+            c, of = value[words[w]], value[contexts[h]]
+            both = min(value[pairs[h, w]], c, of)
+            total += math.log10((both + lm_scoring.MU * min(1, (c + 0.1) / mass)) / (of + lm_scoring.MU))
+        return total
+
+    expected = defaultdict(list)
+    for r, (_, t) in zip(rows, texts):
+        expected[r[0]].append((want(t), len(t)))
+    above = n = 0
+    for r in lm_scoring.score(docs, lm_scoring.train(docs)).collect():
+        value_, size = next((v, k) for v, k in expected[r.doc_id] if k == r.n_tokens)
+        assert r.score >= value_ - 0.1 - 1e-9 * size  # the start context's level may be read one higher
+        above, n = above + r.score - value_, n + size
+    assert abs(above / n) < 0.02
+
+
 # ------------------------------------------------------------------ 2
 PARAGRAPH = re.compile(r"[^\n]{80,}?[.!?](?= |\n|$)|[^\n]+")
 
