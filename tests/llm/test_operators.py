@@ -452,6 +452,71 @@ def test_word_probabilities_sum_to_one(docs):
     assert held.sum() / (model.mass + lm_scoring.ADD * (model.distinct + 1)) == pytest.approx(1, abs=1e-12)
 
 
+def brute_determinant(x):
+    """Minimum-covariance-determinant centre and scatter (with the floor) in numpy."""
+    q = quality_rules
+    floor = np.array(list(q.FLOOR.values()))
+
+    def quantile(v, share):
+        return np.sort(v)[math.ceil(share * len(v)) - 1]
+
+    def estimate(d):
+        near = x[d <= quantile(d, q.KEEP)]
+        return near.mean(axis=0), q.CONSISTENCY * np.cov(near.T, bias=True) + np.diag(floor ** 2)
+
+    def squares(m, c):
+        return ((x - m) @ np.linalg.inv(c) * (x - m)).sum(axis=1)
+
+    middle = np.array([quantile(c, 0.5) for c in x.T])
+    scale = np.maximum([1.4826 * quantile(abs(c - m), 0.5) for c, m in zip(x.T, middle)], floor)
+    unit = abs(x - middle) / scale
+    ends = []
+    for start in ((unit ** 2).sum(axis=1), unit.max(axis=1), unit.sum(axis=1)):
+        m, c = estimate(start)
+        for _ in range(q.STEPS):
+            m, c = estimate(squares(m, c))
+        ends.append((np.linalg.slogdet(c)[1], m, c))
+    return min(ends, key=lambda e: e[0])[1:]
+
+
+def test_verdicts_against_brute_force(spark):
+    """Distances and verdicts of a whole table by numpy, with the groups that are pooled."""
+    q = quality_rules
+    stats = q.statistics_table(spark.read.parquet(f"{SF['0.01']}/documents.parquet"))
+    rows = stats.collect()
+    sound = Counter((r.lang, r.source) for r in rows if not r.base_failed)
+    every = {(r.lang, r.source) for r in rows}
+    by_lang = Counter()
+    for g in every:
+        by_lang[g[0]] += sound[g] if sound[g] < q.MIN_GROUP else 0
+    rest = sum(n for n in by_lang.values() if n < q.MIN_GROUP)
+
+    def pool(g):
+        if sound[g] >= q.MIN_GROUP:
+            return g
+        return ("lang", g[0]) if by_lang[g[0]] >= q.MIN_GROUP else "rest" if rest >= q.MIN_GROUP else None
+
+    members = defaultdict(list)
+    for r in rows:
+        if not r.base_failed:
+            members[pool((r.lang, r.source))].append([r[z] for z in q.Z])
+    found = {g: brute_determinant(np.array(x)) for g, x in members.items() if g is not None}
+    want = {}
+    for r in rows:
+        g, distance = pool((r.lang, r.source)), None
+        if g is not None and r[q.Z[0]] is not None:
+            away = np.array([r[z] for z in q.Z]) - found[g][0]
+            distance = float(away @ np.linalg.inv(found[g][1]) @ away)
+        want[r.doc_id] = (distance, not r.base_failed and (distance is None or distance <= q.CUTOFF))
+    got = q.judge(stats, q.fit(stats)).collect()
+    assert len(got) == len(rows) == len(want)
+    for r in got:
+        distance, kept = want[r.doc_id]
+        assert r.distance == (None if distance is None else pytest.approx(distance, rel=1e-6, abs=1e-6))
+        assert r.kept == kept
+    assert 0 < sum(not k for _, k in want.values()) < len(want) / 2 and len(found) > 1
+
+
 def test_score_against_brute_force(docs, rows):
     """Scores from counts in dictionaries; the filter may only read a pair's level too high."""
     def tokens(text):
