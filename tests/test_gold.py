@@ -124,3 +124,18 @@ def test_global_rank_by_ranges(spark):
     assert {(x["id"], x["position"]) for x in placed.collect()} == {
         (x["id"], x["position"]) for x in df.withColumn("position", F.row_number().over(Window.orderBy(*order))).collect()}
     assert gold.global_rank(df.limit(0), "v").count() == gold.position(df.limit(0), order).count() == 0
+
+
+def test_global_rank_makes_its_input_once(spark):
+    """Two ranks of one frame: what the frame is made of runs once, not for every pass over it."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def value(i):
+        made.add(1)
+        return i % 7
+
+    df = spark.range(0, 200, 1, 4).select("id", value("id").alias("v"))
+    got = gold.global_rank(gold.global_rank(df, "v"), "v", name="dense", dense=True).collect()
+    assert made.value == 200
+    assert {(r["v"], r["dense"]) for r in got} == {(v, 7 - v) for v in range(7)}
