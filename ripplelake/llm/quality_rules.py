@@ -104,45 +104,48 @@ def _squares(at: str) -> Column:
 
 
 def _whitened(estimates: DataFrame, at: str) -> DataFrame:
-    """From the covariances ``c<i><j>`` of a start: the inverse of the Cholesky
-    factor of consistency * covariance + floor (``w<i><j>``) and the log
-    determinant."""
+    """From the covariances ``c<i><j>`` that end in ``at``: the inverse of the Cholesky factor of
+    consistency * covariance + floor (``w<i><j>``) and the log determinant.
+
+    Columns that don't depend on one another are added at once: planning a
+    projection for each takes the driver's time and memory.
+    """
     p, df = len(Z), estimates
-    for i in range(p):
-        for j in range(i + 1):
-            v = CONSISTENCY * F.coalesce(F.col(f"c{i}{j}_{at}"), F.lit(0.0))
-            v = v + FLOOR[Z[i]] ** 2 if i == j else v
-            for k in range(j):
-                v = v - F.col(f"l{i}{k}_{at}") * F.col(f"l{j}{k}_{at}")
-            v = F.sqrt(F.greatest(v, F.lit(1e-12))) if i == j else v / F.col(f"l{j}{j}_{at}")
-            df = df.withColumn(f"l{i}{j}_{at}", v)
+
+    def left(i: int, j: int) -> Column:
+        v = CONSISTENCY * F.coalesce(F.col(f"c{i}{j}_{at}"), F.lit(0.0))
+        v = v + FLOOR[Z[i]] ** 2 if i == j else v
+        for k in range(j):
+            v = v - F.col(f"l{i}{k}_{at}") * F.col(f"l{j}{k}_{at}")
+        return v
+
+    def inverse(i: int, j: int) -> Column:
+        v = reduce(lambda a, b: a + b, [F.col(f"l{i}{k}_{at}") * F.col(f"w{k}{j}_{at}") for k in range(j, i)])
+        return -v / F.col(f"l{i}{i}_{at}")
+
     for j in range(p):
-        df = df.withColumn(f"w{j}{j}_{at}", 1 / F.col(f"l{j}{j}_{at}"))
-        for i in range(j + 1, p):
-            v = reduce(lambda a, b: a + b, [F.col(f"l{i}{k}_{at}") * F.col(f"w{k}{j}_{at}") for k in range(j, i)])
-            df = df.withColumn(f"w{i}{j}_{at}", -v / F.col(f"l{i}{i}_{at}"))
+        df = df.withColumn(f"l{j}{j}_{at}", F.sqrt(F.greatest(left(j, j), F.lit(1e-12))))
+        if j + 1 < p:
+            df = df.withColumns({f"l{i}{j}_{at}": left(i, j) / F.col(f"l{j}{j}_{at}") for i in range(j + 1, p)})
+    df = df.withColumns({f"w{j}{j}_{at}": 1 / F.col(f"l{j}{j}_{at}") for j in range(p)})
+    for d in range(1, p):
+        df = df.withColumns({f"w{j + d}{j}_{at}": inverse(j + d, j) for j in range(p - d)})
     log_det = reduce(lambda a, b: a + b, [F.log(F.col(f"l{i}{i}_{at}")) for i in range(p)])
     return (df.withColumn(f"det_{at}", 2 * log_det)
             .drop(*[f"{x}{i}{j}_{at}" for i in range(p) for j in range(i + 1) for x in "cl"]))
 
 
-def _concentrate(rows: DataFrame, distances: dict[str, Column]) -> DataFrame:
-    """One concentration step for all starts: estimates per group of the KEEP
-    share of rows with the smallest distance."""
-    rows = rows.withColumns({f"d_{s}": d for s, d in distances.items()}).select(
-        "group", *Z, *[f"d_{s}" for s in distances])
-    limits = cut(rows.groupBy("group").agg(*[F.percentile_approx(f"d_{s}", KEEP, ACCURACY).alias(f"q_{s}")
-                                             for s in distances]), "mcd-limits")
-    near = join_groups(rows, limits, ["group"], F.xxhash64(*Z))
-    aggregates = []
-    for s in distances:
-        z = [F.when(F.col(f"d_{s}") <= F.col(f"q_{s}"), F.col(c)) for c in Z]
-        aggregates += [F.avg(z[i]).alias(f"m{i}_{s}") for i in range(len(Z))]
-        aggregates += [F.covar_pop(z[i], z[j]).alias(f"c{i}{j}_{s}") for i in range(len(Z)) for j in range(i + 1)]
-    found = near.groupBy("group").agg(*aggregates)
-    for s in distances:
-        found = _whitened(found, s)
-    return cut(found, "mcd-estimates")
+def _concentrate(rows: DataFrame) -> DataFrame:
+    """One concentration step: estimates per group and start of the KEEP share
+    of its rows with the smallest distance.  ``rows`` has group, start, Z and
+    the distance ``d``; starts are rows, not columns, so that plans and the
+    code made of them, which the driver holds, are those of one start."""
+    limits = cut(rows.groupBy("group", "start").agg(F.percentile_approx("d", KEEP, ACCURACY).alias("q")), "mcd-limits")
+    near = join_groups(rows, limits, ["group", "start"], F.xxhash64(*Z)).filter("d <= q")
+    found = near.groupBy("group", "start").agg(
+        *[F.avg(c).alias(f"m{i}_best") for i, c in enumerate(Z)],
+        *[F.covar_pop(Z[i], Z[j]).alias(f"c{i}{j}_best") for i in range(len(Z)) for j in range(i + 1)])
+    return cut(_whitened(found, "best"), "mcd-estimates")
 
 
 def fit(stats: DataFrame) -> DataFrame:
@@ -179,15 +182,18 @@ def fit(stats: DataFrame) -> DataFrame:
                      F.lit(FLOOR[c])).alias(f"scale_{c}") for c in Z]), "mcd-spread")
     start = join_groups(rows, spread, ["group"], salt)
     unit = [F.abs(F.col(c) - F.col(f"mid_{c}")) / F.col(f"scale_{c}") for c in Z]
-    found = _concentrate(start, {"round": reduce(lambda a, b: a + b, [u * u for u in unit]),
-                                 "box": F.greatest(*unit),
-                                 "plain": reduce(lambda a, b: a + b, unit)})
+    by_start = {"round": reduce(lambda a, b: a + b, [u * u for u in unit]),
+                "box": F.greatest(*unit),
+                "plain": reduce(lambda a, b: a + b, unit)}
+    found = _concentrate(start.select("group", *Z, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("start"), by_start[s].alias("d")) for i, s in enumerate(STARTS)])).alias("x"))
+        .select("group", "x.start", *Z, "x.d"))
     for _ in range(STEPS):
-        found = _concentrate(join_groups(rows, found, ["group"], salt), {s: _squares(s) for s in STARTS})
+        found = _concentrate(join_groups(rows, found, ["group"], salt)
+                             .select("group", "start", *Z, _squares("best").alias("d")))
 
-    least = F.least(*[f"det_{s}" for s in STARTS])
-    best = found.select("group", *[F.coalesce(*[F.when(F.col(f"det_{s}") == least, F.col(f"{c}_{s}"))
-                                                for s in STARTS]).alias(f"{c}_best") for c in columns])
+    best = found.groupBy("group").agg(F.min(F.struct("det_best", "start", *[f"{c}_best" for c in columns])).alias("x"))
+    best = best.select("group", *[f"x.{c}_best" for c in columns])
     return cut(groups.join(best.withColumnRenamed("group", "_g"), F.col("group") == F.col("_g"), "left")
                .drop("_g", "group"), "mcd-best")
 

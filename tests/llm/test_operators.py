@@ -117,6 +117,26 @@ def test_whitening_matches_numpy(spark):
     assert got.det_s == pytest.approx(np.linalg.slogdet(full)[1])
 
 
+def test_starts_are_rows_of_narrow_frames(spark, monkeypatch):
+    """The driver plans one start's columns, and the estimates of all three are rows."""
+    seen, cut = {}, quality_rules.cut
+
+    def seen_cut(df, name):
+        out = seen[name] = cut(df, name)
+        return out
+
+    monkeypatch.setattr(quality_rules, "cut", seen_cut)
+    r = np.random.default_rng(6)
+    data = [(i, " ".join(f"w{x}" for x in r.integers(0, 400, 60)), "en", "s" if i % 2 else None, 0) for i in range(200)]
+    best = quality_rules.fit(quality_rules.statistics_table(spark.createDataFrame(data, DOCS))).collect()
+    estimates = seen["mcd-estimates"]
+    assert len(estimates.columns) <= 30 and len(seen["mcd-limits"].columns) == 3
+    assert estimates.groupBy("group").count().filter("count = 3").count() == 2
+    least = {x.d for x in estimates.groupBy("group").agg(F.min("det_best").alias("d")).collect()}
+    chosen = {(x.det_best, x.m0_best, x.w40_best) for x in estimates.collect() if x.det_best in least}
+    assert len(best) == 2 and {(x.m0_best, x.w40_best) for x in best} <= {c[1:] for c in chosen}
+
+
 # ------------------------------------------------------------------ 7
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"{SF['0.01']}/{t}.parquet") for t in ("documents", "labels"))
