@@ -154,6 +154,21 @@ def test_collocations(docs, monkeypatch, limit):
     assert got == want and len(got) > 100
 
 
+def test_candidates_travel_packed(spark, monkeypatch):
+    """No row per pair is shuffled: tasks send arrays, whose sums are those of all pairs."""
+    monkeypatch.setattr(phrase_mining, "HELD", 50)  # pass sums on early, merge them often
+    r = random.Random(9)
+    texts = [(i, " ".join(r.choices("abcdefghij", k=60)), "en" if i % 3 else None) for i in range(120)]
+    rows = phrase_mining.chunks(spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(5))
+    tries = {lang: phrase_mining.Trie.of(list("abcdefghij")) for lang in ("en", "und")}
+    found = phrase_mining._candidates(rows, tries, 2, 60)
+    want = Counter((lang or "und", a, b) for _, t, lang in texts for a, b in zip(t.split(), t.split()[1:]))
+    got = {(x.lang, "abcdefghij"[(x.key >> 32) - 1], "abcdefghij"[(x.key & 0xFFFFFFFF) - 1]): x.n for x in found.collect()}
+    assert got == {k: n for k, n in want.items() if n >= 60} and len(want) > len(got) > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "hashpartitioning(lang" in plan
+
+
 def test_collocations_of_odd_texts(spark, empty):
     texts = ["A b. a b\ta  b\nA B!a b", None, "", " \t\n", "a b\x00 c é É a b", "x." * 50, "The the the the the the the"]
     df = spark.createDataFrame([(t, l) for t in texts for l in (None, "und", "en")], "text string, lang string")
