@@ -12,7 +12,8 @@ SF = {s: f"/root/testdata/sf{s}" for s in ("0.001", "0.01", "0.1")}
 @pytest.fixture(scope="session")
 def spark():
     from ripplelake.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    # Tests read filters from plans; Spark cuts them at 100 characters, which long expression ids use up.
+    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.sql.maxMetadataStringLength": "2000"})
     yield s
     s.stop()
 
