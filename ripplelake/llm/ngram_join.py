@@ -42,11 +42,11 @@ empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import TEXTS, WordHashes, cut, join_groups, partitions, ship
@@ -61,7 +61,7 @@ CELLS, CHUNK = 1 << 22, 1 << 16
 BLOCK = 4096
 #: Document pivots of a region in each round; in the last, all its members.
 PIVOTS = (8, 64, None)
-#: Node tables below this many rows are broadcast (16 bytes a row).
+#: Hashes of rows looked for are broadcast below this many (8 bytes a row).
 BROADCAST_NODES = 1_000_000
 WORD_CACHE = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -291,14 +291,36 @@ def _open_pairs(dealt: DataFrame, state: DataFrame | None, pivots: int | None, s
     return df.mapInArrow(run, "a long, b long").distinct()
 
 
+def _among(rows: DataFrame) -> Callable[[str, str], Column]:
+    """A test of (doc_id, text_hash) against those of ``rows``: none of them fails it, and hardly another row
+    passes it.  Sorted 64-bit hashes are broadcast, 8 bytes a row where Spark's own broadcast takes over a hundred
+    on the driver; what passes is matched exactly by a shuffle.
+    """
+    keys = np.sort(rows.select(F.xxhash64("doc_id", "text_hash").alias("key")).toArrow()["key"].to_numpy())
+    shared = rows.sparkSession.sparkContext.broadcast(keys)
+
+    @F.arrow_udf("boolean")
+    def held(key: pa.Array) -> pa.Array:
+        if not len(shared.value):
+            return pa.array(np.zeros(len(key), dtype=bool))
+        key = key.to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(shared.value, key), len(shared.value) - 1)
+        return pa.array(shared.value[at] == key)
+
+    return lambda doc_id, text_hash: held(F.xxhash64(doc_id, text_hash))
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, shingles) of classes, from the text of one row of each."""
-    wanted = nodes.join(classes, "node").select("node", F.col("label").alias("_id"), F.col("text_hash").alias("_hash"))
+    wanted = nodes.join(classes, "node").select(F.col("label").alias("doc_id"), "text_hash", "node")
     wanted = cut(wanted, "wanted-classes")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(None).cast("long").alias("node"), "text")
     if wanted.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    rows = docs.select("doc_id", "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+        rows = rows.filter(_among(wanted)("doc_id", "text_hash"))
+    # Nodes meet their texts as rows of one group, which also holds ids that are null.
+    rows = (rows.union(wanted.withColumn("text", F.lit(None).cast("string")))
+            .groupBy("doc_id", "text_hash").agg(F.max("node").alias("node"), F.max("text").alias("text"))
+            .filter("node is not null and text is not null"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
@@ -307,8 +329,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.large_binary()).cast(pa.binary())],
                                              ["node", "shingles"])
 
-    rows = rows.select("node", "text").dropDuplicates(["node"])
-    return cut(rows.mapInArrow(run, "node long, shingles binary"), "class-sets", TEXTS)
+    return cut(rows.select("node", "text").mapInArrow(run, "node long, shingles binary"), "class-sets", TEXTS)
 
 
 def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -487,9 +508,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = cut(keys.withColumn("_repeated", stays).filter("not _repeated or n > 1")
                .select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_hash"), "_repeated"), "not-kept")
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64("text").alias("text_hash"))
-    join = F.broadcast(gone) if gone.count() <= BROADCAST_NODES else gone
-    rows = rows.join(join, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("text_hash") == F.col("_hash")), "left")
+    on = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("text_hash") == F.col("_hash"))
+    if gone.count() <= BROADCAST_NODES:
+        perhaps = rows.withColumn("_perhaps", _among(gone.select(F.col("_gone").alias("doc_id"), F.col("_hash").alias("text_hash")))
+                                  ("doc_id", "text_hash"))
+        others, rows = perhaps.filter("not _perhaps").select("_row.*"), perhaps.filter("_perhaps").drop("_perhaps")
+    else:
+        others = None
+    rows = rows.join(gone, on, "left")
     rows = rows.filter("_hash is null or _repeated")
     once = (rows.filter("_hash is not null").groupBy("doc_id", "text_hash")
             .agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row")))
-    return rows.filter("_hash is null").select("_row.*").union(once.select("_row.*"))
+    kept = rows.filter("_hash is null").select("_row.*").union(once.select("_row.*"))
+    return kept if others is None else others.union(kept)

@@ -274,6 +274,29 @@ def test_keep_one(docs, rows):
     assert sorted(map(str, kept)) == sorted([i for i, c in parts.items() if i == c] + ["None"])
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_rows_looked_for_go_through_no_broadcast_join(docs, rows, monkeypatch, most):
+    """The driver holds 8 bytes a row of what is looked for, no table of it; above the bound nothing."""
+    sent, hashes = [], []
+    monkeypatch.setattr(F, "broadcast", lambda df, f=F.broadcast: sent.append(df.columns) or f(df))
+    among = ngram_join._among
+    monkeypatch.setattr(ngram_join, "_among", lambda df: hashes.append(df.count()) or among(df))
+    monkeypatch.setattr(ngram_join, "BROADCAST_NODES", most)
+    want = dict((i, c) for i, _, c in brute_components(rows))
+    kept = ngram_join.keep_one(docs).collect()
+    assert sorted(str(r.doc_id) for r in kept) == sorted([i for i, c in want.items() if i == c] + ["None"])
+    assert not [c for c in sent if {"_hash", "text_hash"} & {*c}]
+    assert len(hashes) >= 2 and min(hashes) > 0 if most else not hashes
+
+
+def test_among_passes_all_rows_looked_for(spark):
+    df = spark.createDataFrame([(i if i % 7 else None, i % 50) for i in range(300)], "doc_id long, text_hash long")
+    some = df.filter("text_hash < 20")
+    test = ngram_join._among(some)("doc_id", "text_hash")
+    assert df.filter(test).count() == some.count() == 120
+    assert df.filter(ngram_join._among(some.limit(0))("doc_id", "text_hash")).count() == 0
+
+
 def test_keep_one_keeps_a_row_of_each_component(spark):
     """Ids that repeat with unlike texts, equal rows, and copies without an id."""
     r = random.Random(3)
