@@ -21,10 +21,12 @@ Scale: tasks count n-grams of about a million tokens at a time, so a frequent
 n-gram is one entry a task and chunk; entries are dealt by hash into
 segments, and each segment merges its counts and builds its own piece of the
 filter.  Segments follow the shuffle partitions, which follow the input.  The
-model is broadcast up to ``BROADCAST_MB``; a larger one is probed in several
-passes, a group of segments at a time, and the levels found are carried along
-in a written table, with the same result.  All training texts are counted and
-every text is scored whole.
+model is broadcast up to ``BROADCAST_MB``.  For a larger one the texts are
+written once as chunks of word numbers with the words' counts (a fraction of the
+texts' size), and each of several passes reads the chunks, probes the pairs of a
+group of segments and gives a sum for each text.  Logarithms are added up in
+fixed point, so passes give the same result in any order.  All training texts are
+counted and every text is scored whole.
 
 Defined cases: null or empty text is the end token alone; rows without an id
 are training texts; repeated rows count as often as they occur.  Without
@@ -34,14 +36,15 @@ An empty table gives an empty result.  Words are known by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import TEXTS, WordHashes, cut, fold, partitions, power_of_two, ship
 
@@ -53,6 +56,10 @@ BASE, MU = 1.5, 20.0
 PROBES, BITS_AN_ENTRY = 4, 8
 BROADCAST_MB = 160
 CHUNK_TOKENS = 1 << 20
+#: Chunks that go to a Python task at once, and tokens whose pairs are probed together.
+FEW, BLOCK = 2, 1 << 17
+#: Units in which logarithms are added up.
+HIGH, LOW = 2.0 ** 20, 2.0 ** 50
 WORD_CACHE = 300_000
 #: Hashes of the end token and of the start context.
 END, START = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)
@@ -110,6 +117,24 @@ def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys, np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The numbers' bytes, those of equal place together: what sorted or small numbers share compresses."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _numbers(planes: bytes, kind: str) -> np.ndarray:
+    bytes_of = np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(bytes_of.T).view(kind).reshape(-1)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    return pa.compress(_planes(x), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int, kind: str) -> np.ndarray:
+    return _numbers(pa.decompress(packed, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
 @dataclass
 class Model:
     """Written segments of the filter and of the word counts, and the totals."""
@@ -142,7 +167,7 @@ def train(docs: DataFrame) -> Model:
             for order, keys in ((1, contexts), (2, _pair(before, words))):
                 keys, n = np.unique(keys, return_counts=True)
                 cuts = np.searchsorted((keys >> shift).astype(np.int64), np.arange(segments + 1))
-                rows += [(s, order, keys[a:b].tobytes(), n[a:b].astype(np.uint32).tobytes())
+                rows += [(s, order, _planes(keys[a:b]), n[a:b].astype(np.uint32).tobytes())
                          for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
             names = ["segment", "order", "keys", "counts"]
             kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -161,7 +186,7 @@ def train(docs: DataFrame) -> Model:
     def build(t: pa.Table) -> pa.Table:
         got = {1: [], 2: []}
         for order, k, n in zip(*(t.column(c).to_pylist() for c in ("order", "keys", "counts"))):
-            got[order].append((np.frombuffer(k, np.uint64), np.frombuffer(n, np.uint32)))
+            got[order].append((_numbers(k, "u8"), np.frombuffer(n, np.uint32)))
         keys, counts = [], []
         for parts in got.values():
             if parts:
@@ -253,18 +278,29 @@ def _groups(model: Model) -> list[list[int]]:
     return [list(range(model.segments))[i::passes] for i in range(passes)]
 
 
-def _collected(model: Model, group: list[int] | None) -> tuple:
+def _collected(model: Model, group: list[int] | None, pairs: bool = True, exact: bool = True) -> tuple:
     """A group's segments in order, at most about BROADCAST_MB: places in the
-    filter, filter, sorted word hashes, their counts and the counts' type."""
-    df = model.table if group is None else model.table.filter(F.col("segment").isin(group))
+    filter, filter, sorted word hashes, their counts and the counts' type; without the
+    filter unless ``pairs``, without words unless ``exact``."""
     places, table, words, counts = [], bytearray(), bytearray(), []
-    for r in df.orderBy("segment").select("segment", "bits", "filter", "words", "counts").toLocalIterator():
-        places.append((r[0], r[1], 8 * len(table)))
-        table += r[2]
-        words += r[3]
-        counts.append(np.frombuffer(r[4], dtype=np.uint32 if 2 * len(r[4]) == len(r[3]) else np.uint64))
+    none = F.lit(None).cast("binary")
+    df = model.table if group is None else model.table.filter(F.col("segment").isin(group))
+    for r in df.orderBy("segment").select("segment", "bits", *(F.col(c) if ok else none.alias(c) for c, ok in (
+            ("filter", pairs), ("words", exact), ("counts", exact)))).toLocalIterator():
+        if pairs:
+            places.append((r[0], r[1], 8 * len(table)))
+            table += r[2]
+        if exact:
+            words += r[3]
+            counts.append(np.frombuffer(r[4], dtype=np.uint32 if 2 * len(r[4]) == len(r[3]) else np.uint64))
     counts = np.concatenate(counts) if counts else np.empty(0, np.uint32)
-    return places, bytes(table), bytes(words), counts.tobytes(), counts.dtype.str
+    return places, table, words, counts.tobytes(), counts.dtype.str
+
+
+def _fixed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Units of 2**-20 and of 2**-50 that values consist of; sums of them are exact."""
+    high = np.floor(values * HIGH)
+    return high.astype(np.int64), np.rint((values - high / HIGH) * LOW).astype(np.int64)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -273,46 +309,28 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     floor, mass = total + ADD * (distinct + 1), model.mass + ADD * (distinct + 1)
 
-    def token_arrays(texts: list[bytes | None], hashes: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        each = [hashes(t) for t in texts]
-        size = np.array([len(x) for x in each])
-        words = np.concatenate(each) if each else np.empty(0, np.uint64)
-        before = np.concatenate([[START], words[:-1]]).astype(np.uint64) if len(words) else words
-        before[(np.cumsum(size) - size).astype(np.int64)] = START
-        return words, before, size
-
-    def read(part: Part, words: np.ndarray, before: np.ndarray, most: np.ndarray | None) -> list[np.ndarray]:
+    def read(part: Part, words: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
         """Per token: exact count, level of the word, of its context, of the pair."""
         singles, back = np.unique(np.concatenate([words, before]), return_inverse=True)
         exact, level = part.word_levels(singles)
         w, h = back[:len(words)], back[len(words):]
-        if most is None:
-            most = np.minimum(level[w], level[h])
         pairs, first, at = np.unique(_pair(before, words), return_index=True, return_inverse=True)
-        return [exact[w], level[w], level[h], part.levels(pairs, most[first])[at]]
+        return [exact[w], level[w], level[h], part.levels(pairs, np.minimum(level[w], level[h])[first])[at]]
 
-    def totals(exact, word, context, pair, size) -> list[np.ndarray]:
-        at = np.cumsum(size) - size
+    def logs(word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logarithms of tokens' probabilities, in fixed point."""
         c_word, c_context, c_pair = (COUNT_OF_LEVEL[x] for x in (word, context, pair))
         single = (c_word + ADD) / mass
         c_pair = np.minimum(np.minimum(c_pair, c_context), c_word)
-        p = (c_pair + MU * np.minimum(single, 1)) / (c_context + MU)
-        if not len(size):
-            return [np.empty(0, np.int64), np.empty(0), np.empty(0)]
-        return [np.add.reduceat((exact > 0).astype(np.int64), at),
-                np.add.reduceat(np.log10((exact + ADD) / floor), at), np.add.reduceat(np.log10(p), at)]
+        return _fixed(np.log10((c_pair + MU * np.minimum(single, 1)) / (c_context + MU)))
+
+    def base(exact: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """Known tokens and base score of texts that begin at ``at``."""
+        return [np.add.reduceat((exact > 0).astype(np.int64), at), np.add.reduceat(np.log10((exact + ADD) / floor), at)]
 
     schema = (f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
     rows = docs.select("doc_id", "text", (fold(F.col("doc_id"), FOLDS, 1) == 0).alias("held_out"))
-
-    def result(b: pa.RecordBatch, size: np.ndarray, sums: list[np.ndarray]) -> pa.RecordBatch:
-        known, base, value = sums
-        return pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("held_out"), pa.array(size.astype(np.int64)), pa.array(known),
-             pa.array(np.full(len(size), total, dtype=np.int64)), pa.array(base), pa.array(value)],
-            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
     groups = _groups(model)
     if len(groups) == 1:
         shared = spark.sparkContext.broadcast(_collected(model, None))
@@ -322,48 +340,129 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for whole in batches:
                 for k in range(0, whole.num_rows, 200):
                     b = whole.slice(k, 200)
-                    words, before, size = token_arrays(b.column("text").cast(pa.binary()).to_pylist(), hashes)
-                    yield result(b, size, totals(*read(part, words, before, None), size))
+                    each = [hashes(t) for t in b.column("text").cast(pa.binary()).to_pylist()]
+                    size = np.array([len(x) for x in each], dtype=np.int64)
+                    words, at = np.concatenate(each), np.cumsum(size) - size
+                    before = np.concatenate([[START], words[:-1]]).astype(np.uint64)
+                    before[at] = START
+                    exact, *levels = read(part, words, before)
+                    high, low = (np.add.reduceat(x, at) for x in logs(*levels))
+                    known, plain = base(exact, at)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id"), b.column("held_out"), pa.array(size), pa.array(known),
+                         pa.array(np.full(len(size), total, dtype=np.int64)), pa.array(plain),
+                         pa.array(high / HIGH + low / LOW)],
+                        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
         return cut(rows.mapInArrow(run, schema), "scores", TEXTS)
 
-    # A model above the bound: words in a first round of passes, pairs in a second.
-    kept = T.StructType([*rows.schema.fields, *[T.StructField(c, T.BinaryType()) for c in
-                                                ("exact", "word", "context", "pair")]])
-    state = rows.withColumns({c: F.lit(None).cast("binary") for c in ("exact", "word", "context", "pair")})
-    types = {"exact": np.int64, "word": np.uint8, "context": np.uint8, "pair": np.uint8}
-
-    def held(b: pa.RecordBatch, size: np.ndarray) -> list[np.ndarray]:
-        n = int(size.sum())
-        return [np.frombuffer(b"".join(x), dtype=types[c]).astype(np.int64)
-                if (x := b.column(c).to_pylist()) and x[0] is not None else np.zeros(n, np.int64) for c in types]
-
-    for pairs_too in (False, True):
-        for group in groups:
-            shared = spark.sparkContext.broadcast(_collected(model, group))
-
-            def run(batches: Iterator[pa.RecordBatch], shared=shared, pairs_too=pairs_too) -> Iterator[pa.RecordBatch]:
-                part, hashes = Part(shared.value, segments), Hasher()
-                for whole in batches:
-                    for k in range(0, whole.num_rows, 200):
-                        b = whole.slice(k, 200)
-                        words, before, size = token_arrays(b.column("text").cast(pa.binary()).to_pylist(), hashes)
-                        now = held(b, size)
-                        most = np.minimum(now[1], now[2]) if pairs_too else np.zeros(len(words), np.int64)
-                        found = read(part, words, before, most)
-                        now = [np.maximum(x, y) for x, y in zip(now, found if pairs_too else [*found[:3], now[3]])]
-                        at = np.cumsum(size)[:-1]
-                        yield pa.RecordBatch.from_arrays(
-                            [*b.columns[:3], *[pa.array([x.tobytes() for x in np.split(v.astype(types[c]), at)],
-                                                        pa.binary()) for c, v in zip(types, now)]], b.schema.names)
-
-            state = cut(state.mapInArrow(run, kept), "levels", TEXTS)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for k in range(0, whole.num_rows, 200):
-                b = whole.slice(k, 200)
-                size = np.array([len(x) for x in b.column("word").to_pylist()], dtype=np.int64)
-                yield result(b, size, totals(*held(b, size), size))
-
-    return cut(state.mapInArrow(finish, schema), "scores", TEXTS)
+    # A model above the bound: chunks of word numbers, then a pass for each group of segments.
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, ids, held_out, each, n = Hasher(), [], [], [], 0
+
+        def out() -> pa.RecordBatch:
+            words, back, often = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+            order = np.argsort(-often, kind="stable")
+            rank = np.empty(len(order), dtype=np.uint32)
+            rank[order] = np.arange(len(order))
+            size = np.array([len(x) for x in each], dtype=np.int64)
+            none = np.zeros(len(words), dtype=np.uint64)
+            listed = [pa.ListArray.from_arrays([0, len(size)], pa.concat_arrays(x)) for x in (ids, held_out)]
+            return pa.RecordBatch.from_arrays(
+                [*listed, *(pa.array([x], pa.binary()) for x in
+                            (size.tobytes(), words[order].tobytes(), _packed(none), _packed(rank[back])))],
+                ["ids", "held_out", "sizes", "words", "counts", "tokens"])
+
+        for b in batches:
+            first = 0
+            for i, t in enumerate(b.column("text").cast(pa.binary()).to_pylist(), 1):
+                each.append(hashes(t))
+                n += len(each[-1])
+                if n >= CHUNK_TOKENS or i == b.num_rows:
+                    ids.append(b.column("doc_id").slice(first, i - first))
+                    held_out.append(b.column("held_out").slice(first, i - first))
+                    first = i
+                if n >= CHUNK_TOKENS:
+                    yield out()
+                    ids, held_out, each, n = [], [], [], 0
+        if each:
+            yield out()
+
+    def counted(shared: Broadcast) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part = Part(shared.value, segments)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    b = batch.slice(i, 1)
+                    words = np.frombuffer(b.column("words")[0].as_buffer(), dtype=np.uint64)
+                    counts = _unpacked(b.column("counts")[0].as_py(), len(words), "u8")
+                    known = pa.array([_packed(np.maximum(counts, part.exact(words).astype(np.uint64)))], pa.binary())
+                    yield b.set_column(b.schema.get_field_index("counts"), "counts", known)
+        return run
+
+    def chained(first: Callable, second: Callable) -> Callable:
+        return lambda batches: second(first(batches))
+
+    chunk = f"ids array<{kind}>, held_out array<boolean>, sizes binary, words binary, counts binary, tokens binary"
+    passes = max(1, int(-(-model.words_mb // BROADCAST_MB)))
+    chunks = rows
+    for k in range(passes):
+        shared = spark.sparkContext.broadcast(_collected(model, list(range(segments))[k::passes], pairs=False))
+        step = counted(shared)
+        chunks = chunks.mapInArrow(step if k else chained(numbered, step), chunk + ", chunk long" * bool(k))
+        if not k:
+            chunks = chunks.withColumn("chunk", F.monotonically_increasing_id())
+        chunks = cut(chunks, "token-chunks", FEW if k else TEXTS)
+        shared.destroy()
+    start_at = int(START >> np.uint64(64 - segments.bit_length() + 1))
+    start = int(Part(_collected(model, [start_at], exact=False), segments).levels(np.array([START]))[0])
+
+    def summed(shared: Broadcast, group: list[int], whole: bool) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            part, mine = Part(shared.value, segments), np.zeros(segments, dtype=bool)
+            mine[group] = True
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    b = batch.slice(i, 1)
+                    size, words = (np.frombuffer(b.column(c)[0].as_buffer(), dtype=k) for c, k in
+                                   (("sizes", np.int64), ("words", np.uint64)))
+                    at = np.cumsum(size) - size
+                    counts = _unpacked(b.column("counts")[0].as_py(), len(words), "u8").astype(np.int64)
+                    word = _unpacked(b.column("tokens")[0].as_py(), int(size.sum()), "u4")
+                    before = np.concatenate([[len(words)], word[:-1]]).astype(np.uint32)
+                    before[at] = len(words)
+                    hashes = np.append(words, START)
+                    level = np.append(np.where(counts > 0, levels_of(counts), 0), start)
+                    high, low = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+                    for k in range(0, len(word), BLOCK):
+                        w, h = word[k:k + BLOCK], before[k:k + BLOCK]
+                        pairs = _pair(hashes[h], hashes[w])
+                        own = np.flatnonzero(mine[(pairs >> part.shift).astype(np.int64)])
+                        of_word, of_context = level[w[own]], level[h[own]]
+                        pair = part.levels(pairs[own], np.minimum(of_word, of_context))
+                        high[k + own], low[k + own] = logs(of_word, of_context, pair)
+                    n, texts = len(size), [pa.nulls(len(size), x) for x in kinds]
+                    if whole:
+                        known, plain = base(counts[word], at)
+                        texts = [b.column("ids").flatten(), b.column("held_out").flatten(), pa.array(size),
+                                 pa.array(known), pa.array(plain)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, b.column("chunk")[0].as_py())), pa.array(np.arange(n)), *texts,
+                         pa.array(np.add.reduceat(high, at)), pa.array(np.add.reduceat(low, at))],
+                        ["chunk", "at", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "high", "low"])
+        return run
+
+    kinds = [to_arrow_type(docs.schema["doc_id"].dataType), pa.bool_(), pa.int64(), pa.int64(), pa.float64()]
+    sums = None
+    for k, group in enumerate(groups):
+        shared = spark.sparkContext.broadcast(_collected(model, group, exact=False))
+        some = chunks if not k else chunks.drop("ids", "held_out")
+        now = cut(some.mapInArrow(summed(shared, group, not k),
+                                  f"chunk long, at long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
+                                  "base_score double, high long, low long"), "text-sums", FEW)
+        shared.destroy()
+        sums = now if sums is None else sums.union(now)
+    each = ("doc_id", "held_out", "n_tokens", "n_known", "base_score")
+    out = sums.groupBy("chunk", "at").agg(*[F.max(c).alias(c) for c in each], F.sum("high").alias("high"), F.sum("low").alias("low"))
+    return cut(out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score",
+                          (F.col("high") / HIGH + F.col("low") / LOW).alias("score")), "scores", TEXTS)

@@ -472,6 +472,33 @@ def test_scores(docs, rows, empty, monkeypatch):
     assert lm_scoring.score(empty, lm_scoring.train(empty)).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.2, 1.5])
+def test_scores_in_passes_write_texts_once(docs, monkeypatch, share):
+    """Chunks of word numbers are written once for each pass over words, of which there is one or more; passes over pairs add
+    sums only."""
+    model = lm_scoring.train(docs)
+    want = sorted(map(str, lm_scoring.score(docs, model).collect()))
+    wrote, cut = [], lm_scoring.cut
+    monkeypatch.setattr(lm_scoring, "cut", lambda df, name, *x: wrote.append((name, df.columns)) or cut(df, name, *x))
+    monkeypatch.setattr(lm_scoring, "BROADCAST_MB", share * model.words_mb)
+    monkeypatch.setattr(lm_scoring, "CHUNK_TOKENS", 2000)
+    monkeypatch.setattr(lm_scoring, "BLOCK", 300)
+    assert sorted(map(str, lm_scoring.score(docs, model).collect())) == want
+    assert not [name for name, columns in wrote if "text" in columns]
+    chunks = [name for name, columns in wrote if "tokens" in columns]
+    assert len(chunks) == (5 if share < 1 else 1) and len(wrote) == len(chunks) + len(lm_scoring._groups(model)) + 1 > 3
+
+
+def test_packed_numbers():
+    for x in (np.array([], np.uint32), np.array([5, 2**32 - 1, 0], np.uint32)):
+        assert lm_scoring._unpacked(lm_scoring._packed(x), len(x), "u4").tolist() == x.tolist()
+    x = np.sort(np.random.default_rng(1).integers(0, 2**63, 999).astype(np.uint64))
+    assert (lm_scoring._numbers(lm_scoring._planes(x), "u8") == x).all()
+    v = np.log10(np.random.default_rng(2).random(5000))
+    high, low = lm_scoring._fixed(v)
+    assert abs(high.sum() / lm_scoring.HIGH + low.sum() / lm_scoring.LOW - math.fsum(v)) < 1e-9
+
+
 def test_score_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet(f"{SF['0.01']}/documents.parquet")
     r = lm_scoring.score(docs, lm_scoring.train(docs)).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
