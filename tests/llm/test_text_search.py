@@ -154,6 +154,37 @@ def test_collocations(docs, monkeypatch, limit):
     assert got == want and len(got) > 100
 
 
+def test_longer_phrases_than_the_tries_hold_are_cut_to_frequent_parts(docs, monkeypatch):
+    """Above the bound only phrases whose parts the tries hold are shuffled, not all of the texts."""
+    rows = phrase_mining.chunks(docs)
+    made, candidates = [], phrase_mining._candidates
+    monkeypatch.setattr(phrase_mining, "_candidates", lambda r, tries, k, m: made.append(tries) or candidates(r, tries, k, m))
+    want = sorted(map(tuple, phrase_mining.frequent(rows, 3)[0].collect()))
+    by_size = Counter(x[1] for x in want)
+    assert by_size[3] > 0
+    shuffled, given = phrase_mining._shuffled, []
+    monkeypatch.setattr(phrase_mining, "_shuffled", lambda *x: given.append(x[3:]) or shuffled(*x))
+    monkeypatch.setattr(phrase_mining, "BROADCAST_PHRASES", by_size[1] + by_size[2])
+    made.clear()
+    assert sorted(map(tuple, phrase_mining.frequent(rows, 3)[0].collect())) == want
+    assert [k for _, k in given] == [3] and max(t.depth.max() for t in given[0][0].values()) == 2
+
+
+def test_tries_are_sent_without_what_tasks_do_not_read(spark):
+    r = random.Random(5)
+    few = phrase_mining.Trie.of([f"w{i}" for i in range(3000)])
+    often = np.minimum(r.choices(range(1, 3001), weights=[1 / i for i in range(1, 3001)], k=60000), 3000)
+    key = np.unique(np.stack([often[:-1], often[1:]], 1), axis=0)
+    trie = few.grown(key[:, 0], key[:, 1])
+    sent = trie.sent()
+    assert {k for k, v in sent.items() if v is not None} == {"words", "base", "check"}
+    assert sum(sent[k].nbytes for k in ("words", "base", "check")) < 100 * len(trie.parent)
+    named = phrase_mining.Trie(**trie.sent(names=True))
+    node = np.arange(len(trie.parent) - 50, len(trie.parent))
+    assert named.phrases(node) == [f"w{a - 1} w{b - 1}" for a, b in zip(trie.parent[node], trie.code[node])]
+    assert trie.parent.nbytes + trie.code.nbytes + trie.depth.nbytes == 9 * len(trie.parent)
+
+
 def test_candidates_travel_packed(spark, monkeypatch):
     """No row per pair is shuffled: tasks send arrays, whose sums are those of all pairs."""
     monkeypatch.setattr(phrase_mining, "HELD", 50)  # pass sums on early, merge them often
